@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 import numpy as np
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,33 +39,26 @@ def feature_summary(customers: DataFrame, columns: Sequence[str] = DESCRIBED) ->
     return moments.join(picked, "column").withColumnRenamed("column", "feature")
 
 
-def _pair_correlations(customers: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Upper triangle of the Pearson matrix from one pass over the customers."""
-    pairs = list(combinations(columns, 2))
-    cells = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]
-    wide = customers.agg(*cells)
-    listed = F.array(
-        *[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"p{i}").alias("r"))
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    return wide.select(F.explode(listed).alias("cell")).select("cell.a", "cell.b", "cell.r")
+def correlation_matrix(customers: DataFrame, columns: Sequence[str] = DESCRIBED) -> np.ndarray:
+    """Pearson matrix of a fixed list of columns; NaN beside a constant column."""
+    doubles = customers.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(doubles)
+    matrix = Correlation.corr(vectors.select("v"), "v").first()[0].toArray()
+    spread = doubles.agg(*[F.stddev_pop(c).alias(c) for c in columns]).first()
+    constant = [i for i, c in enumerate(columns) if not spread[c]]
+    matrix[constant, :] = matrix[:, constant] = np.nan
+    return matrix
 
 
 def feature_correlations(customers: DataFrame, columns: Sequence[str] = DESCRIBED) -> DataFrame:
     """Full Pearson matrix in long form."""
-    upper = _pair_correlations(customers, columns)
-    both = F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))
-    mirrored = upper.select(F.explode(both).alias("p"), "r").select("p.x", "p.y", "r")
-    present = customers.agg(*[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in columns])
-    ones = F.array(
-        *[F.struct(F.lit(c).alias("x"), F.when(F.col(c) > 0, 1.0).alias("r")) for c in columns]
-    )
-    diagonal = present.select(F.explode(ones).alias("d")).select("d.x", F.col("d.x").alias("y"), "d.r")
-    return mirrored.unionByName(diagonal).select(
-        F.col("x").alias("feature_x"), F.col("y").alias("feature_y"), F.col("r").alias("correlation")
-    )
+    matrix = correlation_matrix(customers, columns)
+    cells = [
+        (a, b, None if np.isnan(matrix[i, j]) else float(matrix[i, j]))
+        for i, a in enumerate(columns)
+        for j, b in enumerate(columns)
+    ]
+    return customers.sparkSession.createDataFrame(cells, "feature_x string, feature_y string, correlation double")
 
 
 def vif(train: DataFrame, columns: Sequence[str] = NUMERIC_FEATURES) -> DataFrame:
@@ -73,11 +67,7 @@ def vif(train: DataFrame, columns: Sequence[str] = NUMERIC_FEATURES) -> DataFram
     Spark reduces the customers to one 22 x 22 matrix; its inverse is taken on the driver. A column that
     the others determine exactly (the category shares sum to one) is infinite.
     """
-    rows = feature_correlations(train, columns).collect()
-    place = {c: i for i, c in enumerate(columns)}
-    matrix = np.eye(len(columns))
-    for row in rows:
-        matrix[place[row.feature_x], place[row.feature_y]] = 0.0 if row.correlation is None else row.correlation
+    matrix = np.nan_to_num(correlation_matrix(train, columns))
     np.fill_diagonal(matrix, 1.0)
     values, vectors = np.linalg.eigh(matrix)
     alive = values > 1e-10

@@ -500,7 +500,7 @@ def sequence_last_n(spark, folder):
 @query(
     "sequence_vectors",
     f"""SELECT s.customer_id, CAST(s.step AS INTEGER) AS step,
-    CAST(greatest(coalesce(least(n.events, {CFG.sequence_length}), 1), 1) AS INTEGER) AS length,
+    CAST(least(coalesce(n.events, 1), {CFG.sequence_length}) AS INTEGER) AS length,
     {', '.join(f"round(coalesce(CAST({e} AS FLOAT), 0), 4) AS {n}" for n, e in
                [('amount_log', 'ln(1 + amount) / 10'), ('gap_log', 'ln(1 + gap) / 7'), ('age_log', 'ln(1 + age) / 7'),
                 *[(c, 'e.' + c) for c in CATEGORIES]])}
@@ -621,7 +621,7 @@ _DISTANCE = "sqrt(" + " + ".join(f"(a.z_{c} - b.z_{c}) ** 2" for c in SEGMENT_CO
 STEPS["mean_distances"] = f"""
 SELECT a.customer_id, a.cluster, b.cluster AS other,
        sum({_DISTANCE}) / (count(*) - CAST(a.cluster = b.cluster AS INTEGER)) AS d, count(*) AS n
-FROM sampled a CROSS JOIN sampled b GROUP BY ALL"""
+FROM sampled a CROSS JOIN sampled b GROUP BY a.customer_id, a.cluster, b.cluster"""
 
 
 @query(
@@ -1010,9 +1010,9 @@ def risk_histogram(spark, folder):
 @query(
     "customer_card",
     f"""SELECT customer_id, '{CFG.cutoff}' AS prediction_date, country, segment,
-    format('{{:.1f}}%', round(churn_probability * 100, 1)) AS churn_risk,
+    format('{{:.1f}}%', churn_probability * 100) AS churn_risk,
     'GBP ' || format('{{:,.2f}}', predicted_clv_90d) AS expected_spend,
-    format('{{:.1f}}%', round(purchase_probability * 100, 1)) AS purchase_chance FROM scored""",
+    format('{{:.1f}}%', purchase_probability * 100) AS purchase_chance FROM scored""",
 )
 def customer_card(spark, folder):
     return serving.customer_card(_scored(spark, folder), CFG)
