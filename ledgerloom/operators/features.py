@@ -2,12 +2,12 @@
 
 Three branches read the past lines, each pre-aggregated before its shuffle:
 
-* invoices  -> 30-day spans per customer -> customer (recency, frequency, money, rhythm, returns)
+* invoices  -> months per customer -> customer (recency, frequency, money, rhythm, returns)
 * products  -> (customer, product) -> customer (discounts, popularity, category mix)
 * countries -> (customer, country) -> customer
 
 The branches end partitioned by customer, so joining them shuffles nothing again. A customer who owns a
-third of all lines is spread over its invoices, its spans and its products until only a few rows are left.
+third of all lines is spread over its invoices, months and products until only a few rows are left.
 """
 
 from __future__ import annotations
@@ -54,16 +54,17 @@ def orders(past: DataFrame) -> DataFrame:
     )
 
 
-def _span_stats(invoices: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Per customer and 30-day span before the cutoff: sums, extremes and squared gaps.
+def _month_stats(invoices: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """Per customer and calendar month: sums, extremes and squared gaps between orders.
 
-    Orders at one instant have no gap between them, so the distinct instants of a span (30 days of seconds
-    at most, however many orders there are) hold all gap information.
+    Orders at one instant have no gap between them, so the distinct instants of a month (its seconds at
+    most, however many orders there are) hold all gap information.
     """
-    age = elapsed_days(F.col("date"), instant(cfg.cutoff))
     recent = F.col("date") >= instant(cfg.cutoff) - F.make_interval(days=F.lit(RECENT_DAYS))
-    dated = invoices.withColumn("span", F.floor(age / SPAN_DAYS)).withColumn("recent", recent)
-    spans = dated.groupBy("customer_id", "span").agg(
+    span = F.floor(elapsed_days(F.col("date"), instant(cfg.cutoff)) / SPAN_DAYS)
+    slope = F.when(span < TREND_SPANS, F.lit((TREND_SPANS - 1) / 2) - span)
+    dated = invoices.withColumns({"month": F.trunc("date", "month"), "recent": recent, "slope": slope})
+    months = dated.groupBy("customer_id", "month").agg(
         F.count("date").alias("orders"),
         F.sum("amount").alias("amount"),
         F.sum("units").alias("units"),
@@ -71,7 +72,7 @@ def _span_stats(invoices: DataFrame, cfg: EngineConfig) -> DataFrame:
         F.sum("returned").alias("returned"),
         F.count_if("recent").alias("recent_orders"),
         F.sum(F.when(F.col("recent"), F.col("amount"))).alias("recent_amount"),
-        *[F.count_if(F.month("date") == m).alias(f"month_{m}") for m in range(1, 13)],
+        F.sum("slope").alias("slope"),
         F.sort_array(F.collect_set("date")).alias("instants"),
     )
     squared = F.aggregate(
@@ -79,8 +80,8 @@ def _span_stats(invoices: DataFrame, cfg: EngineConfig) -> DataFrame:
         F.lit(0.0),
         lambda acc, i: acc + _gap_seconds(F.get("instants", i - 1), F.get("instants", i)) ** 2,
     )
-    return spans.select(
-        *[c for c in spans.columns if c != "instants"],
+    return months.select(
+        *[c for c in months.columns if c != "instants"],
         F.get("instants", F.lit(0)).alias("first_date"),
         F.get("instants", F.size("instants") - 1).alias("last_date"),
         F.when(F.size("instants") > 1, squared).otherwise(0.0).alias("squared_gaps"),
@@ -94,16 +95,14 @@ def _gap_seconds(start: Column, end: Column) -> Column:
 def order_profile(past: DataFrame, cfg: EngineConfig) -> DataFrame:
     """All features that come from invoices; one row per customer with at least one purchase."""
     cutoff = instant(cfg.cutoff)
-    spans = _span_stats(invoice_totals(past), cfg)
-    # Spans count backwards from the cutoff: the previous order is in the next larger span.
-    earlier = F.lag("last_date").over(W.partitionBy("customer_id").orderBy(F.col("span").desc_nulls_first()))
-    bridged = spans.withColumn(
+    months = _month_stats(invoice_totals(past), cfg)
+    earlier = F.lag("last_date").over(W.partitionBy("customer_id").orderBy("month"))
+    bridged = months.withColumn(
         "squared_gaps",
         F.col("squared_gaps") + F.coalesce(_gap_seconds(earlier, F.col("first_date")) ** 2, F.lit(0.0)),
     )
     middle = (TREND_SPANS - 1) / 2
     weight = F.lit(sum((j - middle) ** 2 for j in range(TREND_SPANS)))
-    slope = F.when(F.col("span") < TREND_SPANS, F.col("orders") * (F.lit(middle) - F.col("span")))
     merged = bridged.groupBy("customer_id").agg(
         F.sum("orders").alias("frequency"),
         F.sum("amount").alias("amount"),
@@ -112,11 +111,11 @@ def order_profile(past: DataFrame, cfg: EngineConfig) -> DataFrame:
         F.sum("returned").alias("returned"),
         F.sum("recent_orders").alias("recent_orders"),
         F.sum("recent_amount").alias("recent_amount"),
-        *[F.sum(f"month_{m}").alias(f"month_{m}") for m in range(1, 13)],
+        *[F.sum(F.when(F.month("month") == m, F.col("orders"))).alias(f"month_{m}") for m in range(1, 13)],
         F.min("first_date").alias("first_date"),
         F.max("last_date").alias("last_date"),
         F.sum("squared_gaps").alias("squared_gaps"),
-        (F.coalesce(F.sum(slope), F.lit(0.0)) / weight).alias("frequency_trend"),
+        (F.coalesce(F.sum("slope"), F.lit(0.0)) / weight).alias("frequency_trend"),
     )
     gaps = F.col("frequency") - 1
     reach = _gap_seconds(F.col("first_date"), F.col("last_date"))

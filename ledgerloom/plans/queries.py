@@ -58,7 +58,14 @@ def _r(columns, digits: int = 6) -> str:
 
 
 def _clean(spark: SparkSession, folder: str) -> DataFrame:
-    return Ledger.of_tables(spark, folder).clean
+    """The stored clean ledger, which is what everything after cleaning reads."""
+    return saved(spark, folder, "clean")
+
+
+def _ledger(spark: SparkSession, folder: str) -> Ledger:
+    ledger = Ledger.of_tables(spark, folder)
+    ledger.clean = _clean(spark, folder)
+    return ledger
 
 
 def _past(spark: SparkSession, folder: str) -> DataFrame:
@@ -85,7 +92,7 @@ def ledger_ingest(spark, folder):
     "round(amount, 6) AS amount, is_product FROM clean_ledger",
 )
 def ledger_parquet_roundtrip(spark, folder):
-    return rounded(saved(spark, folder, "clean").select(*_CLEAN), 6).withColumn("price", F.col("price"))
+    return rounded(saved(spark, folder, "clean").select(*_CLEAN))
 
 
 _CLEAN = [
@@ -209,7 +216,7 @@ def customer_id_cast(spark, folder):
 def mark_returns(spark, folder):
     from ledgerloom.functions.columns import money_sum
 
-    totals = _clean(spark, folder).groupBy("is_return")
+    totals = Ledger.of_tables(spark, folder).clean.groupBy("is_return")
     return totals.agg(
         F.count("*").alias("lines"),
         F.sum("quantity").alias("units"),
@@ -231,7 +238,7 @@ def mark_products(spark, folder):
     "round(amount, 6) AS amount, is_product FROM clean_ledger",
 )
 def clean_ledger(spark, folder):
-    return _clean(spark, folder).withColumn("amount", F.round("amount", 6))
+    return Ledger.of_tables(spark, folder).clean.withColumn("amount", F.round("amount", 6))
 
 
 @query(
@@ -420,7 +427,7 @@ _FEATURE_SELECT = f"customer_id, frequency, {_r(_FLOATS)}, country"
 
 @query("customer_features", f"SELECT {_FEATURE_SELECT} FROM features")
 def customer_features(spark, folder):
-    return rounded(Ledger.of_tables(spark, folder).features())
+    return rounded(_ledger(spark, folder).features())
 
 
 @query("feature_leakage_check")
@@ -457,7 +464,7 @@ def future_purchases(spark, folder):
 
 
 def _targets(spark, folder) -> DataFrame:
-    ledger = Ledger.of_tables(spark, folder)
+    ledger = _ledger(spark, folder)
     customers = features.orders(history.past_lines(ledger.clean, CFG)).select("customer_id").dropDuplicates()
     return labels.customer_targets(ledger.clean, customers, CFG)
 
@@ -477,7 +484,7 @@ _label_query("customer_targets", "churn, clv_90d, next_days, next_category")
 
 @query("modeling_table", f"SELECT {_FEATURE_SELECT}, churn, clv_90d, next_days, next_category FROM modeling")
 def modeling_table(spark, folder):
-    return rounded(Ledger.of_tables(spark, folder).modeling())
+    return rounded(_ledger(spark, folder).modeling())
 
 
 @query(

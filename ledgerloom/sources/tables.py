@@ -34,9 +34,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute a scan that has fewer splits than the cluster has cores, such as one small file.
+
+    A large table has more splits than cores and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Ledger lines in canonical columns; one scan per table, join strategy left to AQE."""
-    lines = table(spark, folder, "lineitem")
+    wanted = ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"]
+    lines = spread(table(spark, folder, "lineitem").select(*wanted))
     orders = table(spark, folder, "orders")
     customers = table(spark, folder, "customer")
     nations = table(spark, folder, "nation")
