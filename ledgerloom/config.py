@@ -110,6 +110,7 @@ class ModelConfig:
     hidden: int = 48
     second_hidden: int = 24
     network_iterations: int = 100
+    timing_rounds: int = 60
     bottleneck: int = 5
     cluster_starts: int = 20
     mixture_starts: int = 3
