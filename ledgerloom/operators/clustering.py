@@ -16,7 +16,7 @@ from ledgerloom.session import materialize
 
 POINT = "point"
 Z_COLUMNS = [f"z_{c}" for c in SEGMENT_COLUMNS]
-PARALLEL_FITS = 4
+PARALLEL_FITS = 8
 
 
 @dataclass(frozen=True)
@@ -66,7 +66,7 @@ def fit_segments(train: DataFrame, cfg: EngineConfig) -> SegmentModel:
     """Try every k, keep the best silhouette (the smaller k on a tie), compare a mixture at that k."""
     scaling = segments.fit_scaling(segments.log_columns(train), [f"log_{c}" for c in SEGMENT_COLUMNS])
     # Stored once: a hundred fits read it.
-    points = materialize(as_points(train, scaling).select("customer_id", *SEGMENT_COLUMNS, *Z_COLUMNS, POINT), "points")
+    points = materialize(as_points(train, scaling).select("customer_id", *SEGMENT_COLUMNS, *Z_COLUMNS, POINT), "points").persist()
     fitted, quality = {}, []
     for k in cfg.cluster_k:
         fitted[k] = best_kmeans(points, k, cfg)
@@ -77,6 +77,7 @@ def fit_segments(train: DataFrame, cfg: EngineConfig) -> SegmentModel:
     mixture = best_mixture(points, chosen, cfg)
     quality.append(_quality("GaussianMixture", chosen, mixture.transform(points), None, cfg))
     named = segments.segment_names(fitted[chosen].transform(points)).collect()
+    points.unpersist()
     return SegmentModel(scaling, fitted[chosen], mixture, {r.cluster: r.segment for r in named}, quality)
 
 
