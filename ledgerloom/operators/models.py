@@ -33,7 +33,7 @@ WEIGHT = "class_weight"
 VALIDATION_FLAG = "is_validation"
 # Spark's default of .01 stops after a few rounds.
 VALIDATION_TOLERANCE = 1e-5
-PARALLEL_FITS = 4
+PARALLEL_FITS = 8
 
 Maker = Callable[[DataFrame], object]
 

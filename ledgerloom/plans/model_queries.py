@@ -66,12 +66,20 @@ def _sequences(spark, folder) -> DataFrame:
     return _once(spark, folder, "sequences", build)
 
 
+def _segments(spark, folder) -> clustering.SegmentModel:
+    return _once(
+        spark, folder, "segments", lambda: clustering.fit_segments(_table(spark, folder, "train"), CFG)
+    )
+
+
 def _run(spark, folder) -> training.FrozenRun:
     return _once(
         spark,
         folder,
         "run",
-        lambda: training.train_run(_table(spark, folder), _sequences(spark, folder), CFG, RUN_CHURN, RUN_VALUE),
+        lambda: training.train_run(
+            _table(spark, folder), _sequences(spark, folder), CFG, RUN_CHURN, RUN_VALUE, _segments(spark, folder)
+        ),
     )
 
 
@@ -249,10 +257,6 @@ def held_out_diagnostics(spark, folder):
 
 
 # ---- Segments --------------------------------------------------------------------------------------
-def _segments(spark, folder) -> clustering.SegmentModel:
-    return _run(spark, folder).segments
-
-
 @query("kmeans_select_k")
 def kmeans_select_k(spark, folder):
     table = clustering.quality_table(_segments(spark, folder), _table(spark, folder))

@@ -82,6 +82,7 @@ def train_run(
     cfg: EngineConfig,
     churn_candidates: Sequence[str] = CHURN_CANDIDATES,
     value_candidates: Sequence[str] = VALUE_CANDIDATES,
+    segment_model: clustering.SegmentModel | None = None,
 ) -> FrozenRun:
     """Fit on train, choose on validation. ``table`` is a stored modeling table with its partition.
 
@@ -114,7 +115,7 @@ def train_run(
         timing_baseline=models.fit(models.ridge("next_days", cfg), train),
         category=models.fit(models.category_family(cfg), train),
         anomaly=anomaly.fit_anomaly(train, held, cfg),
-        segments=clustering.fit_segments(train, cfg),
+        segments=segment_model or clustering.fit_segments(train, cfg),
         tiers=segments.fit_value_tiers(train),
         digest=fingerprint(table).first().digest,
         validation=quality,
