@@ -10,20 +10,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BUCKETS = 128
+# Edges are searched in two steps of GROUP - 1 comparisons.
+GROUP = 12
+BUCKETS = GROUP * GROUP
 
 
-def _bucketed(counts: DataFrame, key: Sequence[str], value: str, buckets: int) -> DataFrame:
+def _bucketed(counts: DataFrame, key: Sequence[str], value: str) -> DataFrame:
     """Add a ``bucket`` that grows with ``value`` within each (low-cardinality) ``key``."""
-    grid = [i / buckets for i in range(1, buckets)]
-    edges = counts.groupBy(*key).agg(F.percentile_approx(value, grid, 20 * buckets).alias("edges"))
+    grid = [i / BUCKETS for i in range(1, BUCKETS)]
+    edges = counts.groupBy(*key).agg(F.percentile_approx(value, grid, 20 * BUCKETS).alias("edges"))
+    every = [F.get("edges", F.lit(i * GROUP - 1)) for i in range(1, GROUP)]
+    edges = edges.withColumn("coarse", F.array(*every))
     # One row per key: callers pass keys with a handful of values (a column name, a segment, a class).
     joined = counts.join(F.broadcast(edges), list(key), "left")
-    return joined.withColumn("bucket", F.size(F.filter("edges", lambda e: e < F.col(value)))).drop("edges")
+    below = joined.withColumn("_c", F.size(F.filter("coarse", lambda e: e < F.col(value))))
+    near = F.slice("edges", F.col("_c") * GROUP + 1, F.lit(GROUP - 1))
+    bucket = F.col("_c") * GROUP + F.size(F.filter(near, lambda e: e < F.col(value)))
+    return below.withColumn("bucket", bucket).drop("edges", "coarse", "_c")
 
 
 def _bucket_starts(placed: DataFrame, key: Sequence[str], measures: Sequence[str]) -> DataFrame:
@@ -41,11 +48,11 @@ def _bucket_starts(placed: DataFrame, key: Sequence[str], measures: Sequence[str
 
 
 def running_totals(
-    counts: DataFrame, value: str, measures: Sequence[str], key: Sequence[str] = (), buckets: int = BUCKETS
+    counts: DataFrame, value: str, measures: Sequence[str], key: Sequence[str] = ()
 ) -> DataFrame:
     """``counts`` (one row per key and value) with ``<m>_before`` and ``<m>_total`` for each measure."""
     scope = [*key, "_scope"]
-    placed = _bucketed(counts.withColumn("_scope", F.lit(0)), scope, value, buckets)
+    placed = _bucketed(counts.withColumn("_scope", F.lit(0)), scope, value)
     starts = _bucket_starts(placed, scope, measures)
     inside = W.partitionBy(*scope, "bucket").orderBy(value)
     joined = placed.join(F.broadcast(starts), [*scope, "bucket"])
@@ -60,17 +67,17 @@ def exact_quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Linearly interpolated quantiles in long form: by..., column, prob, value.
 
+    ``df`` is read more than once, so pass a stored table or a cheap projection of one.
     ``by`` must be of low cardinality (segments, classes, partitions): one sketch is broadcast per group.
     """
     key = [*by, "column"]
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
     long = df.select(*by, F.explode(cells).alias("cell")).select(*by, "cell.column", "cell.value")
     counts = long.filter("value IS NOT NULL").groupBy(*key, "value").agg(F.count("*").alias("n"))
-    placed = _bucketed(counts, key, "value", buckets)
+    placed = _bucketed(counts, key, "value")
     starts = _bucket_starts(placed, key, ["n"])
     position = F.col("prob") * (F.col("n_total") - 1)
     wanted = (
@@ -97,18 +104,6 @@ def fit_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> dict[s
     return {name: found[(c, float(p))] for name, (c, p) in wanted.items()}
 
 
-def quantile_struct(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> Column:
-    """Global quantiles as one scalar struct column: name -> (column, probability)."""
-    columns = sorted({c for c, _ in wanted.values()})
-    probs = sorted({p for _, p in wanted.values()})
-    long = exact_quantiles(df, columns, probs)
-    picks = [
-        F.max(F.when((F.col("column") == c) & (F.col("prob") == F.lit(float(p))), F.col("value"))).alias(name)
-        for name, (c, p) in wanted.items()
-    ]
-    return long.agg(F.struct(*picks).alias("quantiles")).scalar()
-
-
 def ordered_rank(df: DataFrame, stratum: str, order_key: str, name: str = "rank") -> DataFrame:
     """1-based rank by a hexadecimal hash within a low-cardinality stratum, plus the stratum's size.
 

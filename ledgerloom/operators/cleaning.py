@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.config import LEDGER_COLUMNS, PRODUCT_CODE_PATTERN, EngineConfig
 from ledgerloom.functions.columns import finite, instant, share
-from ledgerloom.functions.ordering import quantile_struct
+from ledgerloom.functions.ordering import fit_quantiles
+from ledgerloom.session import materialize
 
 
 def validate_columns(raw: DataFrame) -> DataFrame:
@@ -97,8 +98,9 @@ def duplicate_count(raw: DataFrame) -> DataFrame:
     )
 
 
-def _quartiles(lines: DataFrame) -> Column:
-    return quantile_struct(
+def fit_fences(lines: DataFrame) -> dict[str, float]:
+    """Quartiles of quantity and price over stored distinct lines."""
+    return fit_quantiles(
         lines,
         {
             "quantity_q1": ("quantity", 0.25),
@@ -109,20 +111,23 @@ def _quartiles(lines: DataFrame) -> Column:
     )
 
 
-def _outside_fences(column: str) -> Column:
-    q1, q3 = F.col(f"q.{column}_q1"), F.col(f"q.{column}_q3")
-    reach = (q3 - q1) * 1.5
+def _outside_fences(column: str, fences: dict[str, float]) -> Column:
+    q1, q3 = fences[f"{column}_q1"], fences[f"{column}_q3"]
+    reach = 1.5 * (q3 - q1)
     return ~F.col(column).between(q1 - reach, q3 + reach)
 
 
 def iqr_flags(raw: DataFrame) -> DataFrame:
-    """Quartiles and the number of distinct lines beyond 1.5 IQR. Flagged lines are kept."""
-    lines = distinct_lines(raw)
-    flagged = lines.withColumn("q", _quartiles(lines))
-    return flagged.agg(
-        *[F.first(f"q.{name}").alias(name) for name in ("quantity_q1", "quantity_q3", "price_q1", "price_q3")],
-        F.count_if(_outside_fences("quantity")).alias("quantity_iqr_flagged"),
-        F.count_if(_outside_fences("price")).alias("price_iqr_flagged"),
+    """Quartiles and the number of distinct lines beyond 1.5 IQR. Flagged lines are kept.
+
+    Duplicates are dropped once; only the two columns are stored for the passes that follow.
+    """
+    lines = materialize(distinct_lines(raw).select("quantity", "price"), "distinct")
+    fences = fit_fences(lines)
+    return lines.agg(
+        *[F.lit(value).alias(name) for name, value in fences.items()],
+        F.count_if(_outside_fences("quantity", fences)).alias("quantity_iqr_flagged"),
+        F.count_if(_outside_fences("price", fences)).alias("price_iqr_flagged"),
     )
 
 
@@ -186,30 +191,38 @@ def clean_ledger(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
     return mark_products(mark_returns(customer_key(normalize_text(kept))))
 
 
+def audit_lines(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """One narrow row per distinct line, with its number of copies and everything the audit counts."""
+    groups = typed(raw.select(*LEDGER_COLUMNS)).groupBy(*LEDGER_COLUMNS).agg(F.count("*").alias("copies"))
+    invoice = F.trim(F.upper("invoice"))
+    return customer_key(groups).select(
+        "quantity",
+        "price",
+        "copies",
+        "customer_id",
+        "invoice_date",
+        is_invalid().alias("invalid"),
+        is_extreme(cfg).alias("extreme"),
+        ((F.col("quantity") < 0) | invoice.startswith("C")).alias("is_return"),
+    )
+
+
 def cleaning_audit(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
     """All counts of the cleaning in one row.
 
-    One grouping of the raw ledger serves the counts before and after deduplication.
+    One grouping of the raw ledger serves the counts before and after deduplication; it is stored without
+    the text columns, and the quartiles and counts read that.
     """
-    groups = typed(raw.select(*LEDGER_COLUMNS)).groupBy(*LEDGER_COLUMNS).agg(F.count("*").alias("copies"))
-    # Flags are taken before returns change sign.
-    flagged = groups.withColumn("q", _quartiles(groups)).withColumns(
-        {
-            "quantity_out": _outside_fences("quantity"),
-            "price_out": _outside_fences("price"),
-            "invalid": is_invalid(),
-            "extreme": is_extreme(cfg),
-        }
-    )
-    lines = mark_returns(customer_key(normalize_text(flagged)))
+    lines = materialize(audit_lines(raw, cfg), "audit")
+    fences = fit_fences(lines)
     kept = ~F.col("invalid") & ~F.col("extreme")
     missing = F.sum(F.when(F.col("customer_id").isNull(), F.col("copies")).otherwise(0))
     return lines.agg(
         F.sum("copies").alias("raw_rows"),
         share(missing, F.sum("copies")).alias("missing_customer_rate"),
         F.sum(F.col("copies") - 1).alias("exact_duplicate_rows"),
-        F.count_if("quantity_out").alias("quantity_iqr_flagged"),
-        F.count_if("price_out").alias("price_iqr_flagged"),
+        F.count_if(_outside_fences("quantity", fences)).alias("quantity_iqr_flagged"),
+        F.count_if(_outside_fences("price", fences)).alias("price_iqr_flagged"),
         F.count_if("invalid").alias("invalid_price_or_zero_quantity"),
         F.count_if(F.col("extreme") & ~F.col("invalid")).alias("quarantined_extremes"),
         F.count_if(kept).alias("clean_rows"),

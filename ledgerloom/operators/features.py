@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.config import CATEGORIES, FEATURES, NUMERIC_FEATURES, EngineConfig
+from ledgerloom.config import CATEGORIES, NUMERIC_FEATURES, EngineConfig
 from ledgerloom.functions.columns import elapsed_days, instant, money, share
 from ledgerloom.operators.history import past_lines, product_names, product_purchases
 
@@ -219,5 +219,7 @@ def customer_features(clean: DataFrame, cfg: EngineConfig) -> DataFrame:
         .join(product_profile(past, cfg), "customer_id", "left")
         .withColumn("engagement", engagement())
     )
-    columns = [F.coalesce(F.col(c), F.lit(0).cast(table.schema[c].dataType)).alias(c) for c in NUMERIC_FEATURES]
-    return table.select("customer_id", *columns, "country").select("customer_id", *FEATURES)
+    columns = [
+        F.coalesce(F.col(c), F.lit(0) if c == "frequency" else F.lit(0.0)).alias(c) for c in NUMERIC_FEATURES
+    ]
+    return table.select("customer_id", *columns, "country")

@@ -63,9 +63,7 @@ def _clean(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _ledger(spark: SparkSession, folder: str) -> Ledger:
-    ledger = Ledger.of_tables(spark, folder)
-    ledger.clean = _clean(spark, folder)
-    return ledger
+    return Ledger(_clean(spark, folder), CFG)
 
 
 def _past(spark: SparkSession, folder: str) -> DataFrame:

@@ -21,15 +21,14 @@ from ledgerloom.sources.tables import TABLE_CONFIG, raw_ledger
 class Ledger:
     """The frames of one ledger, built lazily from each other."""
 
-    def __init__(self, raw: DataFrame, cfg: EngineConfig) -> None:
+    def __init__(self, clean: DataFrame, cfg: EngineConfig) -> None:
+        self.clean = clean
         self.cfg = cfg
-        self.raw = raw
-        self.clean = cleaning.clean_ledger(raw, cfg)
 
     @classmethod
     def of_tables(cls, spark: SparkSession, folder: str) -> Ledger:
         """The ledger view of the given tables."""
-        return cls(raw_ledger(spark, folder), TABLE_CONFIG)
+        return cls(cleaning.clean_ledger(raw_ledger(spark, folder), TABLE_CONFIG), TABLE_CONFIG)
 
     def features(self) -> DataFrame:
         """Customer features."""
@@ -43,10 +42,8 @@ class Ledger:
 
 def prepare(raw: DataFrame, cfg: EngineConfig) -> Ledger:
     """Validated ledger whose clean lines are stored before anything reads them again."""
-    ledger = Ledger(cleaning.check_ledger(raw, cfg), cfg)
-    ledger.clean = materialize(ledger.clean, "clean")
-    labels.check_window(ledger.clean, cfg)
-    return ledger
+    clean = cleaning.clean_ledger(cleaning.check_ledger(raw, cfg), cfg)
+    return Ledger(labels.check_window(materialize(clean, "clean"), cfg), cfg)
 
 
 def with_partition(modeling: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -103,9 +100,7 @@ def saved(spark: SparkSession, folder: str, stage: str) -> DataFrame:
         if stage == "clean":
             frame = Ledger.of_tables(spark, folder).clean
         elif stage == "modeling":
-            ledger = Ledger.of_tables(spark, folder)
-            ledger.clean = saved(spark, folder, "clean")
-            frame = ledger.modeling()
+            frame = Ledger(saved(spark, folder, "clean"), TABLE_CONFIG).modeling()
         elif stage == "partitioned":
             frame = with_partition(saved(spark, folder, "modeling"), TABLE_CONFIG)
         else:
