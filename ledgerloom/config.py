@@ -137,5 +137,6 @@ class EngineConfig:
     anomaly_quantile: float = 0.95
     silhouette_sample: int = 2000
     batch_limit: int = 5000
+    upload_bytes: int = 5 * 1024 * 1024
     category_rules: tuple[tuple[str, str], ...] = CATEGORY_RULES
     models: ModelConfig = field(default_factory=ModelConfig)

@@ -25,8 +25,13 @@ def _bucketed(counts: DataFrame, key: Sequence[str], value: str) -> DataFrame:
     edges = counts.groupBy(*key).agg(F.percentile_approx(value, grid, 20 * BUCKETS).alias("edges"))
     every = [F.get("edges", F.lit(i * GROUP - 1)) for i in range(1, GROUP)]
     edges = edges.withColumn("coarse", F.array(*every))
-    # One row per key: callers pass keys with a handful of values (a column name, a segment, a class).
-    joined = counts.join(F.broadcast(edges), list(key), "left")
+    if key:
+        # One row per key: callers pass keys with a handful of values (a column name, a segment, a class).
+        joined = counts.join(F.broadcast(edges), list(key), "left")
+    else:
+        found = edges.select(F.struct("edges", "coarse").alias("e")).scalar()
+        joined = counts.withColumn("_e", found).withColumns({"edges": F.col("_e.edges"), "coarse": F.col("_e.coarse")})
+        joined = joined.drop("_e")
     below = joined.withColumn("_c", F.size(F.filter("coarse", lambda e: e < F.col(value))))
     near = F.slice("edges", F.col("_c") * GROUP + 1, F.lit(GROUP - 1))
     bucket = F.col("_c") * GROUP + F.size(F.filter(near, lambda e: e < F.col(value)))
@@ -51,11 +56,11 @@ def running_totals(
     counts: DataFrame, value: str, measures: Sequence[str], key: Sequence[str] = ()
 ) -> DataFrame:
     """``counts`` (one row per key and value) with ``<m>_before`` and ``<m>_total`` for each measure."""
-    scope = [*key, "_scope"]
-    placed = _bucketed(counts.withColumn("_scope", F.lit(0)), scope, value)
-    starts = _bucket_starts(placed, scope, measures)
-    inside = W.partitionBy(*scope, "bucket").orderBy(value)
-    joined = placed.join(F.broadcast(starts), [*scope, "bucket"])
+    placed = _bucketed(counts, key, value)
+    starts = _bucket_starts(placed, key, measures)
+    inside = W.partitionBy(*key, "bucket").orderBy(value)
+    # At most one row per key and bucket.
+    joined = placed.join(F.broadcast(starts), [*key, "bucket"])
     before = [
         (F.col(f"{m}_start") + F.sum(m).over(inside) - F.col(m)).alias(f"{m}_before") for m in measures
     ]

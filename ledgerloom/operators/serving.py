@@ -14,6 +14,7 @@ from ledgerloom.functions.ordering import exact_quantiles, running_totals
 from ledgerloom.operators.eda import data_histogram, histogram
 from ledgerloom.operators.features import product_prices
 from ledgerloom.operators.history import past_lines, product_names, product_purchases
+from ledgerloom.session import materialize
 
 RECOMMENDED = 5
 FORECAST_MONTHS = 3
@@ -126,16 +127,21 @@ def catalog(clean: DataFrame, cfg: EngineConfig) -> DataFrame:
 def _shelf_ranks(items: DataFrame) -> DataFrame:
     """Popularity ranks inside every category, and over the whole catalog as shelf ``*``.
 
-    Orders are bucketed by size first, so the whole catalog is ranked in parallel.
+    Products are counted per number of orders and then per code prefix, so neither a large catalog nor many
+    equally popular products are ordered in one task.
     """
-    shelves = items.withColumn("shelf", F.explode(F.array(F.col("category"), F.lit("*"))))
-    sizes = shelves.groupBy("shelf", (-F.col("orders")).cast("double").alias("busy")).agg(F.count("*").alias("n"))
+    shelves = items.withColumn("shelf", F.explode(F.array(F.col("category"), F.lit("*")))).withColumns(
+        {"busy": (-F.col("orders")).cast("double"), "prefix": F.substring("stock_code", 1, 3)}
+    )
+    lots = shelves.groupBy("shelf", "busy", "prefix").agg(F.count("*").alias("n"))
+    sizes = lots.groupBy("shelf", "busy").agg(F.sum("n").alias("n"))
     ahead = running_totals(sizes, "busy", ["n"], key=["shelf"]).select("shelf", "busy", "n_before", "n_total")
-    peers = W.partitionBy("shelf", "orders").orderBy("stock_code")
+    peers = F.sum("n").over(W.partitionBy("shelf", "busy").orderBy("prefix")) - F.col("n")
+    starts = lots.withColumn("peers", peers).drop("n").join(ahead, ["shelf", "busy"])
+    inside = F.row_number().over(W.partitionBy("shelf", "busy", "prefix").orderBy("stock_code"))
     return (
-        shelves.withColumn("busy", (-F.col("orders")).cast("double"))
-        .join(ahead, ["shelf", "busy"])
-        .withColumn("rank", F.col("n_before") + F.row_number().over(peers))
+        shelves.join(starts, ["shelf", "busy", "prefix"])
+        .withColumn("rank", F.col("n_before") + F.col("peers") + inside)
         .select("shelf", "rank", "stock_code", F.col("n_total").alias("shelf_size"))
     )
 
@@ -147,7 +153,8 @@ def recommendations(scored: DataFrame, items: DataFrame, purchased: DataFrame, c
     product of a category, the ranks a customer already owns are turned into the gaps between them; each
     gap yields only the ranks still needed, so exactly ``count`` rows per customer meet the catalog.
     """
-    ranks = _shelf_ranks(items)
+    # Ranks of the catalog are used three times; stored, they are computed once.
+    ranks = materialize(_shelf_ranks(items), "ranks")
     sizes = ranks.groupBy("shelf").agg(F.max("shelf_size").alias("shelf_size"))
     wanted = (
         scored.select("customer_id", F.col("predicted_category").alias("shelf"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
@@ -234,18 +235,16 @@ def score_snapshot(spark, folder):
     return _snapshot(spark, folder)
 
 
+def _unlimited(rows: int):
+    """The configuration with upload limits that admit a whole table."""
+    return replace(CFG, batch_limit=rows, upload_bytes=1 << 62)
+
+
 @query("score_batch")
 def score_batch(spark, folder):
-    """Uploads of at most ``batch_limit`` rows, together the whole feature table."""
+    """The whole feature table as one batch."""
     table = _table(spark, folder)
-    rows = table.count()
-    batches = -(-rows // (CFG.batch_limit // 2))
-    bucket = F.pmod(F.xxhash64("customer_id"), F.lit(batches))
-    parts = [training.score_batch(_run(spark, folder), table.filter(bucket == b)) for b in range(batches)]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return training.score_batch(_run(spark, folder), table, _unlimited(table.count()))
 
 
 @query("held_out_diagnostics")
@@ -409,29 +408,16 @@ def batch_history_append(spark, folder):
     return sizes.select(F.row_number().over(order).alias("batch"), "rows")
 
 
-def _upload_files(spark, table: DataFrame) -> list[str]:
-    """The table as CSV uploads, each within the batch limit."""
-    folder = f"{shared_folder(spark).rstrip('/')}/ledgerloom/uploads-{uuid.uuid4().hex}"
-    batches = -(-table.count() // (CFG.batch_limit // 2))
-    bucket = F.pmod(F.xxhash64("customer_id"), F.lit(batches))
-    table.withColumn("upload", bucket).repartition("upload").write.partitionBy("upload").option("header", True).csv(folder)
-    return [f"{folder}/upload={b}" for b in range(batches)]
-
-
 @query("batch_csv_scan", "SELECT customer_id, CAST(frequency AS VARCHAR) AS frequency, country FROM features")
 def batch_csv_scan(spark, folder):
-    """The feature table written as upload files and read back under the upload rules."""
+    """The feature table written as an upload and read back under the upload rules."""
     table = saved(spark, folder, "modeling").select("customer_id", *FEATURES)
-    parts = []
-    for path in _upload_files(spark, table):
-        rows, ids_only = store.read_upload(spark, path, CFG)
-        if ids_only:
-            raise ValueError("A feature upload is not an id list")
-        parts.append(rows.select("customer_id", "frequency", "country"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    target = f"{shared_folder(spark).rstrip('/')}/ledgerloom/upload-{uuid.uuid4().hex}"
+    store.write_csv(table, target)
+    rows, ids_only = store.read_upload(spark, f"{target}/*.csv", _unlimited(table.count()))
+    if ids_only:
+        raise ValueError("A feature upload is not an id list")
+    return rows.select("customer_id", "frequency", "country")
 
 
 @query("export_csv", "SELECT customer_id, frequency, country, churn, next_category FROM modeling")

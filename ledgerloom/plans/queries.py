@@ -954,7 +954,7 @@ WHERE NOT EXISTS (SELECT 1 FROM products p WHERE p.customer_id = s.customer_id A
 )
 def recommendations(spark, folder):
     clean = saved(spark, folder, "clean")
-    items = serving.catalog(clean, CFG)
+    items = saved(spark, folder, "catalog")
     bought = serving.purchased_products(clean, CFG)
     return rounded(serving.recommendations(_scored(spark, folder), items, bought))
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.config import CATEGORIES, NO_PURCHASE, EngineConfig
 from ledgerloom.functions.ordering import fit_quantiles
-from ledgerloom.operators import cleaning, features, labels, segments, splits
+from ledgerloom.operators import cleaning, features, labels, segments, serving, splits
 from ledgerloom.session import materialize
 from ledgerloom.sources.tables import TABLE_CONFIG, raw_ledger
 
@@ -91,7 +91,7 @@ _SAVED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def saved(spark: SparkSession, folder: str, stage: str) -> DataFrame:
-    """A stored stage of the given tables: ``clean``, ``modeling``, ``partitioned`` or ``scored``.
+    """A stored stage of the given tables: ``clean``, ``catalog``, ``modeling``, ``partitioned`` or ``scored``.
 
     Serving queries read a saved snapshot, as they would in production; it is written once per session.
     """
@@ -99,6 +99,8 @@ def saved(spark: SparkSession, folder: str, stage: str) -> DataFrame:
     if key not in _SAVED:
         if stage == "clean":
             frame = Ledger.of_tables(spark, folder).clean
+        elif stage == "catalog":
+            frame = serving.catalog(saved(spark, folder, "clean"), TABLE_CONFIG)
         elif stage == "modeling":
             frame = Ledger(saved(spark, folder, "clean"), TABLE_CONFIG).modeling()
         elif stage == "partitioned":

@@ -10,7 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.config import EngineConfig
+from ledgerloom.config import FEATURES, EngineConfig
 from ledgerloom.operators import anomaly, clustering, metrics, models, segments, validation
 from ledgerloom.sources.store import fingerprint
 
@@ -142,11 +142,12 @@ def score_snapshot(run: FrozenRun, table: DataFrame, sequences: DataFrame) -> Da
     ).select(*table.columns, *[c for c in SCORE_COLUMNS if c not in table.columns])
 
 
-def score_batch(run: FrozenRun, rows: DataFrame) -> DataFrame:
-    """Validated feature rows with churn, value, category and segment; outcomes in the input are ignored."""
-    from ledgerloom.config import FEATURES
+def score_batch(run: FrozenRun, rows: DataFrame, cfg: EngineConfig | None = None) -> DataFrame:
+    """Validated feature rows with churn, value, category and segment; outcomes in the input are ignored.
 
-    table = validation.check_feature_rows(rows, run.cfg).select("customer_id", *FEATURES)
+    ``cfg`` may lift the row limit of uploads: the work is one job either way.
+    """
+    table = validation.check_feature_rows(rows, cfg or run.cfg).select("customer_id", *FEATURES)
     scored = score_value(run.value[run.value_champion], score_churn(run.churn[run.champion], table))
     scored = clustering.assign_segments(score_category(run.category, scored), run.segments)
     risk = F.col("churn_probability")

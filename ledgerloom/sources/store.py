@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -11,7 +13,6 @@ from ledgerloom.operators.serving import invoice_aggregates
 
 SNAPSHOT_TABLES = ("segments", "customers", "predictions", "transactions")
 DATASETS = ("features", "modeling", "scored")
-UPLOAD_BYTES = 5 * 1024 * 1024
 
 
 def write_parquet(df: DataFrame, path: str) -> DataFrame:
@@ -130,8 +131,6 @@ class Store:
 
     def append_batch(self, results: DataFrame) -> str:
         """Add one scored batch under a new id and the current time; returns the id."""
-        import uuid
-
         batch = uuid.uuid4().hex
         stamped = results.select(
             F.lit(batch).alias("batch_id"),
@@ -152,9 +151,9 @@ def read_upload(spark: SparkSession, path: str, cfg: EngineConfig) -> tuple[Data
 
     Both limits are part of the upload contract, which keeps a batch small.
     """
-    files = spark.read.format("binaryFile").load(path).agg(F.sum("length").alias("bytes")).first()
-    if (files.bytes or 0) > UPLOAD_BYTES:
-        raise ValueError("CSV exceeds 5 MB limit")
+    files = spark.read.format("binaryFile").load(path).select("length").agg(F.sum("length").alias("bytes")).first()
+    if (files.bytes or 0) > cfg.upload_bytes:
+        raise ValueError(f"CSV exceeds {cfg.upload_bytes // 1024**2} MB limit")
     # No schema inference: ids such as 00123 must stay text.
     rows = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
     if not 1 <= rows.limit(cfg.batch_limit + 1).count() <= cfg.batch_limit:

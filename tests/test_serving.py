@@ -73,7 +73,7 @@ def test_upload_limits(spark, tmp_path):
     path.write_text("customer_id\n")
     with pytest.raises(ValueError, match="1 to"):
         store.read_upload(spark, str(path), CFG)
-    path.write_text("customer_id\n" + "x" * (store.UPLOAD_BYTES + 1))
+    path.write_text("customer_id\n" + "x" * (CFG.upload_bytes + 1))
     with pytest.raises(ValueError, match="5 MB"):
         store.read_upload(spark, str(path), CFG)
 
