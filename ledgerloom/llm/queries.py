@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontamination, disclosure, minhash, mixing, toxicity
+from ledgerloom.llm import automaton, decontamination, disclosure, language, minhash, mixing, toxicity
 from ledgerloom.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +83,17 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return disclosure.personal_data(table(spark, folder, "documents"))
 
 
+@query("op4_automaton")
+def secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return automaton.scan(table(spark, folder, "documents"))
+
+
+@query("op8_language")
+def language_of(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return language.predict(documents, language.fit(documents))
+
+
 @query("op6_decontamination")
 def benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
