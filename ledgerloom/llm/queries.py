@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import automaton, decontamination, disclosure, language, minhash, mixing, toxicity
+from ledgerloom.llm import automaton, decontamination, disclosure, flatgraph, language, minhash, mixing, toxicity
 from ledgerloom.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,19 @@ FROM n LEFT JOIN member USING (doc_id) LEFT JOIN comp ON member.id = comp.id
 """
 
 
+VECTOR_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda c: c::DOUBLE) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE vec_id IS NOT NULL AND label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
+  AND len(list_filter(e, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(e, lambda c: c <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+comp AS (SELECT a, least(a, min(b)) AS c FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(c, vec_id) AS component_id, vec_id = coalesce(c, vec_id) AS kept
+FROM v LEFT JOIN n ON v.vec_id = n.a LEFT JOIN comp ON v.vec_id = comp.a
+"""
+
+
 @query("op2_disclosure")
 def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return disclosure.personal_data(table(spark, folder, "documents"))
@@ -94,6 +107,11 @@ def language_of(spark: SparkSession, folder: str) -> DataFrame:
     return language.predict(documents, language.fit(documents))
 
 
+@query("op5_flatgraph", VECTOR_SQL)
+def near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return flatgraph.near_vectors(table(spark, folder, "embeddings"))
+
+
 @query("op6_decontamination")
 def benchmark_passages(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
