@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import automaton, decontamination, disclosure, flatgraph, language, minhash, mixing, toxicity
+from ledgerloom.llm import attention, automaton, decontamination, disclosure, flatgraph, language, minhash, mixing, toxicity
 from ledgerloom.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,6 +96,11 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return disclosure.personal_data(table(spark, folder, "documents"))
 
 
+@query("op3_attention")
+def language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return attention.score(table(spark, folder, "documents"))
+
+
 @query("op4_automaton")
 def secrets(spark: SparkSession, folder: str) -> DataFrame:
     return automaton.scan(table(spark, folder, "documents"))
