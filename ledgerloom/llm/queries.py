@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import attention, automaton, decontamination, disclosure, flatgraph, language, minhash, mixing, toxicity
+from ledgerloom.llm import attention, automaton, decontamination, disclosure, flatgraph, language, minhash, mixing, passages, toxicity
 from ledgerloom.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,11 @@ FROM v LEFT JOIN n ON v.vec_id = n.a LEFT JOIN comp ON v.vec_id = comp.a
 """
 
 
+@query("op1_passages")
+def repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, folder, "documents"))
+
+
 @query("op2_disclosure")
 def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return disclosure.personal_data(table(spark, folder, "documents"))
