@@ -136,7 +136,8 @@ class EngineConfig:
     cluster_k: tuple[int, ...] = (2, 3, 4, 5, 6)
     anomaly_quantile: float = 0.95
     silhouette_sample: int = 2000
-    batch_limit: int = 5000
-    upload_bytes: int = 5 * 1024 * 1024
+    # Limits of an uploaded batch; none unless a caller sets them.
+    batch_limit: int | None = None
+    upload_bytes: int | None = None
     category_rules: tuple[tuple[str, str], ...] = CATEGORY_RULES
     models: ModelConfig = field(default_factory=ModelConfig)

@@ -19,15 +19,24 @@ def validate_columns(raw: DataFrame) -> DataFrame:
     return raw
 
 
+#: White space of any script at the ends of a text, and runs of it.
+WHITE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]+"
+ENDS = f"^{WHITE}|{WHITE}$"
+
+
+def dated(raw: DataFrame) -> DataFrame:
+    """Dates from text; numbers stay as they came, which is what makes two lines equal."""
+    return raw.withColumn("invoice_date", F.col("invoice_date").try_cast("timestamp_ntz"))
+
+
+def numbered(lines: DataFrame) -> DataFrame:
+    """Quantity and price from text."""
+    return lines.withColumns({c: F.col(c).try_cast("double") for c in ("quantity", "price")})
+
+
 def typed(raw: DataFrame) -> DataFrame:
     """Dates and numbers from text; what does not parse becomes NULL and is counted by the checks."""
-    return raw.withColumns(
-        {
-            "invoice_date": F.col("invoice_date").try_cast("timestamp_ntz"),
-            "quantity": F.col("quantity").try_cast("double"),
-            "price": F.col("price").try_cast("double"),
-        }
-    )
+    return numbered(dated(raw))
 
 
 def _in_range(cfg: EngineConfig) -> Column:
@@ -66,6 +75,7 @@ def check_ledger(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
         F.count_if(F.col("invoice_date").isNull()).alias("invalid_dates"),
         F.count_if(~_in_range(cfg)).alias("out_of_range"),
         F.count_if(F.col("customer_id").isNull()).alias("missing"),
+        F.count_if(~is_whole_id(ledger)).alias("fractional"),
         F.count_if(~finite(F.col("quantity"))).alias("quantity"),
         F.count_if(~finite(F.col("price"))).alias("price"),
     ).first()
@@ -77,6 +87,8 @@ def check_ledger(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
         raise ValueError("Unexpected date range")
     if found.missing / found.lines > cfg.max_missing_customer_rate:
         raise ValueError("Share of lines without a customer exceeds the configured threshold")
+    if found.fractional:
+        raise ValueError("Customer ids must be whole numbers")
     for column in ("quantity", "price"):
         if found[column]:
             raise ValueError(f"Nonfinite {column}")
@@ -85,12 +97,12 @@ def check_ledger(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 def distinct_lines(raw: DataFrame) -> DataFrame:
     """Exact duplicates dropped (NULLs compare equal); copies collapse before the shuffle."""
-    return typed(raw).dropDuplicates()
+    return numbered(dated(raw).dropDuplicates())
 
 
 def duplicate_count(raw: DataFrame) -> DataFrame:
     """Lines beyond the first of each identical group."""
-    groups = raw.groupBy(*raw.columns).agg(F.count("*").alias("copies"))
+    groups = dated(raw).groupBy(*raw.columns).agg(F.count("*").alias("copies"))
     return groups.agg(
         F.sum("copies").alias("raw_rows"),
         F.count("*").alias("distinct_rows"),
@@ -151,30 +163,47 @@ def rejected_lines(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 def quarantine(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Extreme raw lines, deduplicated; unlike the audit count this keeps invalid ones too."""
-    return typed(raw).filter(is_extreme(cfg)).dropDuplicates()
+    return distinct_lines(raw).filter(is_extreme(cfg))
+
+
+def stripped(column: str) -> Column:
+    """Upper case, without white space at either end."""
+    return F.regexp_replace(F.upper(column), ENDS, "")
 
 
 def normalize_text(lines: DataFrame) -> DataFrame:
     """Codes and descriptions upper-cased and trimmed; missing text replaced."""
-    squeezed = F.regexp_replace(F.upper(F.coalesce("description", F.lit(""))), r"\s+", " ")
+    squeezed = F.regexp_replace(F.upper(F.coalesce("description", F.lit(""))), WHITE, " ")
     return lines.withColumns(
         {
-            "invoice": F.trim(F.upper("invoice")),
-            "stock_code": F.trim(F.upper("stock_code")),
+            "invoice": stripped("invoice"),
+            "stock_code": stripped("stock_code"),
             "description": F.trim(squeezed),
             "country": F.coalesce("country", F.lit("Unknown")),
         }
     )
 
 
+def _id_number(lines: DataFrame) -> Column:
+    """Ids as numbers; text goes through decimals, which hold ids beyond 2^53 exactly."""
+    text = lines.schema["customer_id"].dataType.simpleString() == "string"
+    return F.col("customer_id").cast("decimal(38,6)") if text else F.col("customer_id")
+
+
+def is_whole_id(lines: DataFrame) -> Column:
+    """False for an id with a fraction, which would merge two customers."""
+    number = _id_number(lines)
+    return F.coalesce(number == F.floor(number), F.lit(True))
+
+
 def customer_key(lines: DataFrame) -> DataFrame:
     """Numeric customer ids as integer strings; missing ids stay missing."""
-    return lines.withColumn("customer_id", F.col("customer_id").cast("double").cast("long").cast("string"))
+    return lines.withColumn("customer_id", _id_number(lines).cast("decimal(38,0)").cast("string"))
 
 
 def mark_returns(lines: DataFrame) -> DataFrame:
     """Returns are negative or on a C invoice; their quantity is negative either way."""
-    returned = (F.col("quantity") < 0) | F.col("invoice").startswith("C")
+    returned = (F.col("quantity") < 0) | F.coalesce(F.col("invoice").startswith("C"), F.lit(False))
     signed = F.when(returned, -F.abs(F.col("quantity"))).otherwise(F.col("quantity"))
     marked = lines.withColumn("is_return", returned).withColumn("quantity", signed)
     return marked.withColumn("amount", F.col("quantity") * F.col("price"))
@@ -182,7 +211,7 @@ def mark_returns(lines: DataFrame) -> DataFrame:
 
 def mark_products(lines: DataFrame) -> DataFrame:
     """Five digits and optional letters make a product; everything else is administrative."""
-    return lines.withColumn("is_product", F.col("stock_code").rlike(PRODUCT_CODE_PATTERN))
+    return lines.withColumn("is_product", F.coalesce(F.col("stock_code").rlike(PRODUCT_CODE_PATTERN), F.lit(False)))
 
 
 def clean_ledger(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -193,8 +222,7 @@ def clean_ledger(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 def audit_lines(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
     """One narrow row per distinct line, with its number of copies and everything the audit counts."""
-    groups = typed(raw.select(*LEDGER_COLUMNS)).groupBy(*LEDGER_COLUMNS).agg(F.count("*").alias("copies"))
-    invoice = F.trim(F.upper("invoice"))
+    groups = numbered(dated(raw.select(*LEDGER_COLUMNS)).groupBy(*LEDGER_COLUMNS).agg(F.count("*").alias("copies")))
     return customer_key(groups).select(
         "quantity",
         "price",
@@ -203,7 +231,7 @@ def audit_lines(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
         "invoice_date",
         is_invalid().alias("invalid"),
         is_extreme(cfg).alias("extreme"),
-        ((F.col("quantity") < 0) | invoice.startswith("C")).alias("is_return"),
+        ((F.col("quantity") < 0) | F.coalesce(stripped("invoice").startswith("C"), F.lit(False))).alias("is_return"),
     )
 
 

@@ -13,12 +13,12 @@ from ledgerloom.functions.columns import money_sum, share
 from ledgerloom.functions.ordering import exact_quantiles, running_totals
 from ledgerloom.operators.eda import data_histogram, histogram
 from ledgerloom.operators.features import product_prices
+from ledgerloom.operators.validation import check_id_list
 from ledgerloom.operators.history import past_lines, product_names, product_purchases
 from ledgerloom.session import materialize
 
 RECOMMENDED = 5
 FORECAST_MONTHS = 3
-LIST_LIMIT, MOST_LISTED = 6000, 10000
 
 
 def customer_list(
@@ -26,15 +26,16 @@ def customer_list(
     segment: str | None = None,
     country: str | None = None,
     value_tier: str | None = None,
-    limit: int = LIST_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Customers that match every given filter, by falling retention priority."""
-    if not 1 <= limit <= MOST_LISTED:
-        raise ValueError(f"limit must be between 1 and {MOST_LISTED}")
+    """Customers that match every given filter, by falling retention priority; all of them without a limit."""
+    if limit is not None and limit < 1:
+        raise ValueError("limit must be positive")
     for column, wanted in (("segment", segment), ("country", country), ("value_tier", value_tier)):
         if wanted is not None:
             scored = scored.filter(F.col(column) == wanted)
-    return scored.orderBy(F.desc("priority"), "customer_id").limit(limit)
+    ordered = scored.orderBy(F.desc("priority"), "customer_id")
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def retention_priorities(scored: DataFrame, limit: int = 12) -> DataFrame:
@@ -57,7 +58,8 @@ def require_customer(scored: DataFrame, customer_id: str) -> DataFrame:
 
 
 def batch_lookup(scored: DataFrame, ids: DataFrame) -> DataFrame:
-    """Saved records of the requested ids."""
+    """Saved records of the requested ids; the whole call fails for a missing, repeated or unknown one."""
+    check_id_list(ids, scored)
     return scored.join(ids.select("customer_id"), "customer_id")
 
 

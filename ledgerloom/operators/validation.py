@@ -54,14 +54,21 @@ def feature_row_violations(rows: DataFrame) -> DataFrame:
     return checks.withColumn("duplicate_ids", repeats.scalar())
 
 
+def check_size(rows: int, limit: int | None) -> None:
+    """Raise for an empty batch, or one above a limit that the caller has set."""
+    if not rows:
+        raise ValueError("The batch has no rows")
+    if limit is not None and rows > limit:
+        raise ValueError(f"The batch has {rows} rows, more than {limit}")
+
+
 def check_feature_rows(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Raise on the first broken rule; returns the rows with numeric features."""
     missing = sorted({"customer_id", *FEATURES} - set(rows.columns))
     if missing:
         raise ValueError("Missing columns: " + ", ".join(missing))
     found = feature_row_violations(rows).first()
-    if not 1 <= found.rows <= cfg.batch_limit:
-        raise ValueError(f"Provide between 1 and {cfg.batch_limit} customer rows")
+    check_size(found.rows, cfg.batch_limit)
     for rule, message in MESSAGES.items():
         if found[rule]:
             raise ValueError(message)
@@ -96,11 +103,10 @@ def id_list_violations(ids: DataFrame, scored: DataFrame) -> DataFrame:
     return found.withColumn("duplicate_ids", repeats.scalar()).withColumn("unknown_ids", unknown.scalar())
 
 
-def check_id_list(ids: DataFrame, scored: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Raise for an empty, oversized, incomplete or repeated list, KeyError for unknown ids."""
+def check_id_list(ids: DataFrame, scored: DataFrame, limit: int | None = None) -> DataFrame:
+    """Raise for an empty, incomplete or repeated list, or one above ``limit``; KeyError for unknown ids."""
     found = id_list_violations(ids, scored).first()
-    if not 1 <= found.rows <= cfg.batch_limit:
-        raise ValueError(f"Provide between 1 and {cfg.batch_limit} rows")
+    check_size(found.rows, limit)
     if found.missing_ids or found.duplicate_ids:
         raise ValueError("IDs must be present and unique")
     if found.unknown_ids:

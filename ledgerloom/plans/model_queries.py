@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import replace
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
@@ -167,12 +166,17 @@ _value_query("value_forest", "ValueForest")
 _value_query("value_gbt", "ValueBoosting")
 
 
+def _within_horizon(column: str):
+    """A predicted wait, no longer than the horizon and no shorter than none."""
+    clipped = F.least(F.greatest(F.col(column), F.lit(0.0)), F.lit(float(CFG.horizon_days)))
+    return clipped.alias("predicted_next_days")
+
+
 @query("timing_ridge")
 def timing_ridge(spark, folder):
     fitted = models.fit(models.ridge("next_days", CFG), _table(spark, folder, "train"))
-    clipped = F.least(F.greatest("prediction", F.lit(0.0)), F.lit(float(CFG.horizon_days)))
     scored = fitted.transform(_table(spark, folder))
-    return scored.select("customer_id", "partition", "next_days", clipped.alias("predicted_next_days"))
+    return scored.select("customer_id", "partition", "next_days", _within_horizon("prediction"))
 
 
 @query("timing_sequence")
@@ -182,7 +186,7 @@ def timing_sequence(spark, folder):
     fitted = models.fit_sequence_timing(series, *parts, CFG)
     flat = models.flatten_sequences(series)
     scored = fitted.transform(table.select("customer_id", "partition", "next_days").join(flat, "customer_id"))
-    return scored.select("customer_id", "partition", "next_days", "predicted_next_days")
+    return scored.select("customer_id", "partition", "next_days", _within_horizon("predicted_next_days"))
 
 
 @query("next_category_forest")
@@ -235,16 +239,11 @@ def score_snapshot(spark, folder):
     return _snapshot(spark, folder)
 
 
-def _unlimited(rows: int):
-    """The configuration with upload limits that admit a whole table."""
-    return replace(CFG, batch_limit=rows, upload_bytes=1 << 62)
-
-
 @query("score_batch")
 def score_batch(spark, folder):
     """The whole feature table as one batch."""
     table = _table(spark, folder)
-    return training.score_batch(_run(spark, folder), table, _unlimited(table.count()))
+    return training.score_batch(_run(spark, folder), table, CFG)
 
 
 @query("held_out_diagnostics")
@@ -328,9 +327,7 @@ def explanation_topk(spark, folder):
 
 @query("global_importance")
 def global_importance(spark, folder):
-    sample = explain.hash_sample(_table(spark, folder), explain.IMPORTANCE_SAMPLE, CFG, "importance")
-    found = _contributions(spark, folder).join(sample.select("customer_id"), "customer_id", "left_semi")
-    return explain.global_importance(found)
+    return explain.global_importance(_contributions(spark, folder))
 
 
 @query("local_surrogate")
@@ -414,7 +411,7 @@ def batch_csv_scan(spark, folder):
     table = saved(spark, folder, "modeling").select("customer_id", *FEATURES)
     target = f"{shared_folder(spark).rstrip('/')}/ledgerloom/upload-{uuid.uuid4().hex}"
     store.write_csv(table, target)
-    rows, ids_only = store.read_upload(spark, f"{target}/*.csv", _unlimited(table.count()))
+    rows, ids_only = store.read_upload(spark, f"{target}/*.csv", CFG)
     if ids_only:
         raise ValueError("A feature upload is not an id list")
     return rows.select("customer_id", "frequency", "country")

@@ -56,20 +56,28 @@ STEPS["distinct_lines"] = "SELECT DISTINCT * FROM raw_ledger"
 STEPS["kept_lines"] = f"""
 SELECT * FROM distinct_lines
 WHERE price > 0 AND quantity <> 0 AND abs(quantity) <= {CFG.max_quantity} AND price <= {CFG.max_price}"""
-STEPS["named_lines"] = r"""
-SELECT trim(upper(invoice)) AS invoice, trim(upper(stock_code)) AS stock_code,
-       trim(regexp_replace(upper(coalesce(description, '')), '\s+', ' ', 'g')) AS description,
+# White space of any script, at either end of a text.
+WHITE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]+"
+
+
+def stripped(text: str) -> str:
+    return f"regexp_replace(upper({text}), '^{WHITE}|{WHITE}$', '', 'g')"
+
+
+STEPS["named_lines"] = rf"""
+SELECT {stripped('invoice')} AS invoice, {stripped('stock_code')} AS stock_code,
+       trim(regexp_replace(upper(coalesce(description, '')), '{WHITE}', ' ', 'g')) AS description,
        quantity AS raw_quantity, invoice_date, price,
        CAST(CAST(customer_id AS BIGINT) AS VARCHAR) AS customer_id,
        coalesce(country, 'Unknown') AS country,
-       quantity < 0 OR starts_with(trim(upper(invoice)), 'C') AS is_return
+       quantity < 0 OR coalesce(starts_with({stripped('invoice')}, 'C'), false) AS is_return
 FROM kept_lines"""
 STEPS["clean_ledger"] = r"""
 SELECT invoice, stock_code, description,
        CASE WHEN is_return THEN -abs(raw_quantity) ELSE raw_quantity END AS quantity,
        invoice_date, price, customer_id, country, is_return,
        CASE WHEN is_return THEN -abs(raw_quantity) ELSE raw_quantity END * price AS amount,
-       regexp_matches(stock_code, '^\d{5}[A-Z]*$') AS is_product
+       coalesce(regexp_matches(stock_code, '^\d{5}[A-Z]*$'), false) AS is_product
 FROM named_lines"""
 STEPS["past"] = f"SELECT * FROM clean_ledger WHERE invoice_date < {CUTOFF} AND customer_id IS NOT NULL"
 STEPS["products"] = "SELECT * FROM past WHERE NOT is_return AND is_product"

@@ -187,8 +187,8 @@ def quarantine(spark, folder):
 
 @query(
     "normalize_text",
-    r"""SELECT trim(upper(invoice)) AS invoice, trim(upper(stock_code)) AS stock_code,
-    trim(regexp_replace(upper(coalesce(description, '')), '\s+', ' ', 'g')) AS description,
+    rf"""SELECT {oracles.stripped('invoice')} AS invoice, {oracles.stripped('stock_code')} AS stock_code,
+    trim(regexp_replace(upper(coalesce(description, '')), '{oracles.WHITE}', ' ', 'g')) AS description,
     coalesce(country, 'Unknown') AS country, count(*) AS lines FROM raw_ledger GROUP BY ALL""",
 )
 def normalize_text(spark, folder):
@@ -883,8 +883,7 @@ def retention_priorities(spark, folder):
 
 @query(
     "customer_list",
-    f"""SELECT {_SCORED_SELECT} FROM scored WHERE value_tier = 'High'
-    ORDER BY priority DESC, customer_id LIMIT {serving.LIST_LIMIT}""",
+    f"SELECT {_SCORED_SELECT} FROM scored WHERE value_tier = 'High' ORDER BY priority DESC, customer_id",
 )
 def customer_list(spark, folder):
     return _record(serving.customer_list(_scored(spark, folder), value_tier="High"))
@@ -899,7 +898,9 @@ def customer_lookup(spark, folder):
 def batch_lookup(spark, folder):
     """The saved records of everybody who bought in the outcome window."""
     buyers = labels.future_purchases(saved(spark, folder, "clean"), CFG).select("customer_id").dropDuplicates()
-    return _record(serving.batch_lookup(_scored(spark, folder), buyers))
+    scored = _scored(spark, folder)
+    known = buyers.join(scored.select("customer_id"), "customer_id", "left_semi")
+    return _record(serving.batch_lookup(scored, known))
 
 
 @query("invoice_aggregates", "SELECT * FROM transactions")

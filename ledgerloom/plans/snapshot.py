@@ -98,7 +98,9 @@ def saved(spark: SparkSession, folder: str, stage: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, folder, stage)
     if key not in _SAVED:
         if stage == "clean":
-            frame = Ledger.of_tables(spark, folder).clean
+            frame = prepare(raw_ledger(spark, folder), TABLE_CONFIG).clean
+            _SAVED[key] = frame
+            return frame
         elif stage == "catalog":
             frame = serving.catalog(saved(spark, folder, "clean"), TABLE_CONFIG)
         elif stage == "modeling":

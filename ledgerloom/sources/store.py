@@ -6,10 +6,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ledgerloom.config import FEATURES, TARGETS, EngineConfig
 from ledgerloom.operators.serving import invoice_aggregates
+from ledgerloom.operators.validation import check_size
 
 SNAPSHOT_TABLES = ("segments", "customers", "predictions", "transactions")
 DATASETS = ("features", "modeling", "scored")
@@ -92,6 +92,12 @@ def snapshot_tables(scored: DataFrame, clean: DataFrame, cfg: EngineConfig) -> d
     }
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there; faults of access or schema are not taken for absence."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 class Store:
     """Snapshot tables and batch history as Parquet below one folder."""
 
@@ -109,10 +115,7 @@ class Store:
 
     def is_empty(self, table: str) -> bool:
         """True while a table has not been written or has no rows."""
-        try:
-            return self.read(table).limit(1).count() == 0
-        except AnalysisException:
-            return True
+        return not path_exists(self.spark, self.path(table)) or self.read(table).limit(1).count() == 0
 
     def seed(self, tables: dict[str, DataFrame]) -> bool:
         """Write the snapshot unless predictions are there already; says whether it wrote."""
@@ -149,15 +152,16 @@ class Store:
 def read_upload(spark: SparkSession, path: str, cfg: EngineConfig) -> tuple[DataFrame, bool]:
     """An uploaded CSV with text columns, and whether it is an id-only list.
 
-    Both limits are part of the upload contract, which keeps a batch small.
+    Without limits in the configuration a batch may have any size.
     """
-    files = spark.read.format("binaryFile").load(path).select("length").agg(F.sum("length").alias("bytes")).first()
-    if (files.bytes or 0) > cfg.upload_bytes:
-        raise ValueError(f"CSV exceeds {cfg.upload_bytes // 1024**2} MB limit")
+    if cfg.upload_bytes is not None:
+        files = spark.read.format("binaryFile").load(path).select("length").agg(F.sum("length").alias("bytes")).first()
+        if (files.bytes or 0) > cfg.upload_bytes:
+            raise ValueError(f"The upload has more than {cfg.upload_bytes} bytes")
     # No schema inference: ids such as 00123 must stay text.
     rows = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
-    if not 1 <= rows.limit(cfg.batch_limit + 1).count() <= cfg.batch_limit:
-        raise ValueError(f"CSV must contain 1 to {cfg.batch_limit} rows")
+    if cfg.batch_limit is None:
+        check_size(rows.limit(1).count(), None)
+    else:
+        check_size(rows.limit(cfg.batch_limit + 1).count(), cfg.batch_limit)
     return rows, rows.columns == ["customer_id"]
-
-

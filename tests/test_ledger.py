@@ -144,3 +144,36 @@ def test_parts_need_the_exact_header(spark, raw, tmp_path):
         part.write.option("header", True).csv(f"{tmp_path}/{name}")
     back = read_parts(spark, [f"{tmp_path}/a", f"{tmp_path}/b"], "csv")
     assert cleaning.typed(back).agg(F.sum("quantity")).first()[0] == 14.0
+
+
+def _lines(spark, *rows):
+    schema = "invoice string, stock_code string, description string, quantity string, invoice_date string, price string, customer_id double, country string"
+    return spark.createDataFrame(rows, schema)
+
+
+def test_missing_codes_and_white_space(spark, cfg):
+    rows = _lines(
+        spark,
+        (None, "10001", "MUG", "2", "2011-01-01", "5", 1.0, "UK"),
+        ("\tc7", "10001", " red mug ", "2", "2011-01-02", "5", 1.0, "UK"),
+        ("8", None, "MUG", "1", "2011-01-03", "5", 1.0, "UK"),
+    )
+    got = {r.invoice: r for r in cleaning.clean_ledger(rows, cfg).collect()}
+    assert got[None].is_return is False and got[None].is_product
+    assert got["C7"].is_return and got["C7"].quantity == -2.0 and got["C7"].description == "RED MUG"
+    assert got["8"].is_product is False
+
+
+def test_a_duplicate_has_one_meaning(spark, cfg):
+    rows = _lines(spark, *[("1", "10001", "MUG", q, "2011-01-01", "5", 1.0, "UK") for q in ("5", "5", "5.0")])
+    assert cleaning.duplicate_count(rows).first().exact_duplicate_rows == 1
+    assert cleaning.cleaning_audit(rows, cfg).first().exact_duplicate_rows == 1
+    assert cleaning.clean_ledger(rows, cfg).count() == 2
+
+
+def test_fractional_ids_are_refused(spark, cfg):
+    rows = _lines(spark, ("1", "10001", "MUG", "5", "2011-01-01", "5", 123.5, "UK"))
+    with pytest.raises(ValueError, match="whole"):
+        cleaning.check_ledger(rows, cfg)
+    text = rows.withColumn("customer_id", F.lit("9007199254740993"))
+    assert cleaning.customer_key(text).first().customer_id == "9007199254740993"

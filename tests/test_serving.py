@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -48,12 +49,12 @@ def test_good_uploads_pass(rows):
 
 def test_id_lists(spark, rows):
     ids = lambda *v: spark.createDataFrame([(x,) for x in v], "customer_id string")
-    validation.check_id_list(ids("1", "2"), rows, CFG)
+    validation.check_id_list(ids("1", "2"), rows)
     for bad in (("1", "1"), ("1", None)):
         with pytest.raises(ValueError):
-            validation.check_id_list(ids(*bad), rows, CFG)
+            validation.check_id_list(ids(*bad), rows)
     with pytest.raises(KeyError):
-        validation.check_id_list(ids("1", "9"), rows, CFG)
+        validation.check_id_list(ids("1", "9"), rows)
     with pytest.raises(KeyError):
         serving.require_customer(rows, "9")
 
@@ -71,11 +72,14 @@ def test_upload_limits(spark, tmp_path):
     found, ids_only = store.read_upload(spark, str(path), CFG)
     assert ids_only and found.first().customer_id == "00123"
     path.write_text("customer_id\n")
-    with pytest.raises(ValueError, match="1 to"):
-        store.read_upload(spark, str(path), CFG)
-    path.write_text("customer_id\n" + "x" * (CFG.upload_bytes + 1))
-    with pytest.raises(ValueError, match="5 MB"):
+    with pytest.raises(ValueError, match="no rows"):
         store.read_upload(spark, str(path), CFG)
+    path.write_text("customer_id\n" + "1\n" * 6000)
+    assert store.read_upload(spark, str(path), CFG)[0].count() == 6000
+    with pytest.raises(ValueError, match="more than 5 rows|more than 5$"):
+        store.read_upload(spark, str(path), replace(CFG, batch_limit=5))
+    with pytest.raises(ValueError, match="100 bytes"):
+        store.read_upload(spark, str(path), replace(CFG, upload_bytes=100))
 
 
 def test_processed_tables(rows):
