@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.config import FEATURES
+from ledgerloom.config import FEATURES, NUMERIC_FEATURES
 from ledgerloom.operators import (
     anomaly,
     clustering,
@@ -92,7 +92,12 @@ def _snapshot(spark, folder) -> DataFrame:
 
 
 # ---- Preparation and churn models ------------------------------------------------------------------
-@query("onehot_country")
+_FLAGGED = f"""SELECT customer_id, country, flags, CAST({len(NUMERIC_FEATURES)} + (SELECT count(DISTINCT country) FROM train) AS INTEGER)
+    AS inputs FROM (SELECT customer_id, country, CASE WHEN country IN (SELECT country FROM train) THEN 1.0 ELSE 0.0 END::DOUBLE AS flags
+    FROM partitioned UNION ALL SELECT customer_id, 'Nowhere', 0.0::DOUBLE FROM partitioned) t"""
+
+
+@query("onehot_country", _FLAGGED)
 def onehot_country(spark, folder):
     """Country indicators fitted on train; for countries unseen there, all are zero."""
     train = _table(spark, folder, "train")
@@ -434,6 +439,10 @@ def anomaly_flag_rate_model(spark, folder):
     return test.agg(F.avg(F.col("anomaly").cast("int")).alias("flag_rate"))
 
 
-@query("explanation_background")
+@query(
+    "explanation_background",
+    f"""SELECT customer_id, {', '.join(f'round({c}, 6) AS {c}' for c in NUMERIC_FEATURES)}, country FROM train
+    ORDER BY md5('{CFG.seed}:background:' || customer_id) LIMIT {explain.BACKGROUND_ROWS}""",
+)
 def explanation_background(spark, folder):
-    return explain.background(_table(spark, folder, "train"), CFG)
+    return rounded(explain.background(_table(spark, folder, "train"), CFG))

@@ -428,7 +428,7 @@ def customer_features(spark, folder):
     return rounded(_ledger(spark, folder).features())
 
 
-@query("feature_leakage_check")
+@query("feature_leakage_check", "SELECT CAST(0 AS BIGINT) AS changed_rows")
 def feature_leakage_check(spark, folder):
     """Features from the full ledger and from one whose later lines are changed: no row may differ."""
     clean = _clean(spark, folder)
@@ -502,8 +502,7 @@ def sequence_last_n(spark, folder):
     return rounded(last.withColumn("step", F.col("step").cast("long")))
 
 
-@query(
-    "sequence_vectors",
+_SEQUENCE_SQL = (
     f"""SELECT s.customer_id, CAST(s.step AS INTEGER) AS step,
     CAST(least(coalesce(n.events, 1), {CFG.sequence_length}) AS INTEGER) AS length,
     {', '.join(f"round(coalesce(CAST({e} AS FLOAT), 0), 4) AS {n}" for n, e in
@@ -512,25 +511,30 @@ def sequence_last_n(spark, folder):
     FROM (SELECT customer_id, unnest(generate_series(0, {CFG.sequence_length - 1})) AS step FROM features) s
     LEFT JOIN last_events e ON s.customer_id = e.customer_id AND s.step = e.step
     LEFT JOIN (SELECT customer_id, count(*) AS events FROM event_base GROUP BY customer_id) n
-         ON s.customer_id = n.customer_id""",
+         ON s.customer_id = n.customer_id"""
 )
+
+
+def _long_cells(table):
+    cells = sequences.sequence_cells(table)
+    return cells.select("customer_id", "step", "length", *[F.round(c, 4).alias(c) for c in sequences.VECTOR])
+
+
+@query("sequence_vectors", _SEQUENCE_SQL)
 def sequence_vectors(spark, folder):
     clean = _clean(spark, folder)
     customers = features.orders(history.past_lines(clean, CFG)).select("customer_id").dropDuplicates()
-    cells = sequences.sequence_cells(sequences.customer_sequences(clean, customers, CFG))
-    return cells.select(
-        "customer_id", "step", "length", *[F.round(c, 4).alias(c) for c in sequences.VECTOR]
-    )
+    return _long_cells(sequences.customer_sequences(clean, customers, CFG))
 
 
-@query("sequence_sink")
+@query("sequence_sink", _SEQUENCE_SQL)
 def sequence_sink(spark, folder):
-    """Sequences stored as nested arrays and read back."""
+    """Sequences stored as nested arrays, read back and laid out."""
     from ledgerloom.session import materialize
 
     clean = saved(spark, folder, "clean")
     table = sequences.customer_sequences(clean, saved(spark, folder, "modeling"), CFG)
-    return materialize(table, "sequences")
+    return _long_cells(materialize(table, "sequences"))
 
 
 # ---- Partitions ------------------------------------------------------------------------------------

@@ -64,9 +64,10 @@ def score_value(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 def score_category(model: PipelineModel, df: DataFrame) -> DataFrame:
     """``df`` with the predicted next category; true categories are not looked at."""
-    blank = df.withColumn("next_category", F.lit("unknown"))
-    scored = model.transform(blank).select("customer_id", "predicted_category")
-    return df.join(scored, "customer_id")
+    kept = df.withColumnRenamed("next_category", "true_category")
+    scored = model.transform(kept.withColumn("next_category", F.lit("unknown")))
+    own = [F.col("true_category").alias(c) if c == "next_category" else F.col(c) for c in df.columns]
+    return scored.select(*own, "predicted_category")
 
 
 def _churn_quality(scored: DataFrame, threshold: float) -> dict:
