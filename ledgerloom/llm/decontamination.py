@@ -1,8 +1,8 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
 
 The test items are the stated query set. They are taken in blocks of bounded size, and a block's n-grams are sent to
-every task. A first pass counts in how many documents each of these n-grams occurs; an item's seeds are its n-grams
-that occur in at most ``RARE_SHARE`` of the documents, and always its ``LEAST_SEEDS`` rarest. A second pass finds the
+every task. A first pass counts in how many documents each of these n-grams occurs; an item's seeds are those of its
+n-grams that occur in at most ``RARE_SHARE`` of the documents, and always the ``LEAST_SEEDS`` rarest that occur. A second pass finds the
 seeds in whole texts, and aligns the item with the stretch of words around each seed hit. The score of an alignment
 (match 2, mismatch and gap -1) is divided by that of the item with itself.
 
@@ -136,6 +136,7 @@ def document_counts(documents: DataFrame, block: Block) -> tuple[int, np.ndarray
 def choose_seeds(block: Block, total: int, counts: np.ndarray) -> Seeds:
     n = counts[block.gram_of]
     order = np.lexsort((block.grams[block.gram_of], n, block.item_of))
+    order = order[n[order] > 0]  # an n-gram that no document has finds none
     start = np.searchsorted(block.item_of[order], np.arange(len(block.ids)))
     rank = np.arange(len(order)) - start[block.item_of[order]]
     chosen = np.sort(order[(rank < LEAST_SEEDS) | (n[order] <= RARE_SHARE * total)])

@@ -18,6 +18,7 @@ vector are copies of each other. An empty table gives no rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -169,7 +170,7 @@ def _cells(sample: pd.DataFrame, sizes: dict) -> dict:
     out = {}
     for key, rows in sample.groupby(["label", "dim"]):
         x = unit(matrix(rows["v"]))
-        k = int(max(1, min(-(-sizes[key] // CELL), len(x) // 8)))
+        k = int(max(1, min(-(-sizes.get(key, len(x)) // CELL), len(x) // 8)))
         centres = x[np.random.default_rng(7).choice(len(x), k, replace=False)]
         for _ in range(8):
             home = (x @ centres.T).argmax(1)
@@ -192,7 +193,7 @@ def _assigner(centres: dict, first: dict):
                 groups.setdefault(key, []).append(row)
             for key, rows in groups.items():
                 if key not in centres:  # no row of the group is in the sample: one cell of its own
-                    cells[rows] = -1 - (hash(key) % (1 << 40))
+                    cells[rows] = -1 - zlib.crc32(repr(key).encode())
                     continue
                 x = unit(np.stack([flat[ends[r] : ends[r + 1]] for r in rows]).astype(np.float64))
                 sim = x @ centres[key].T
@@ -278,14 +279,18 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     placed = stored(placed, "placed")
     index = placed.select("id", "copies", "v", F.explode(F.array_distinct(F.array("home", "other"))).alias("cell"))
     pieces = index.groupBy("cell").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("pieces"))
-    index = index.join(pieces, "cell").withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int")).drop("pieces")
-    queries = placed.select(F.col("id").alias("asked"), F.col("v").alias("x"), F.col("home").alias("cell")).join(pieces, "cell").withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces")
+    index = index.join(pieces, "cell").withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"))
+    queries = placed.select(F.col("id").alias("asked"), F.col("v").alias("x"), F.col("home").alias("cell")).join(pieces, "cell")
+    # Queries of a crowded cell are cut as well, so a task has one piece and one block of queries.
+    each = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
+    queries = queries.withColumn("block", F.pmod(F.xxhash64("asked", F.lit("block")), F.col("pieces")).cast("int")).withColumn("piece", each).drop("pieces")
+    sought = index.withColumn("block", each).drop("pieces")
     graph = index.groupBy("cell", "piece").applyInPandas(_build_piece, "id long, to array<long>")
     # At most two lists of bounded length for each class.
     graph = stored(graph.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("to"))).alias("to")), "graph")
     beam = BEAM
     for _ in range(WIDENINGS):
-        found = index.join(graph, "id").groupBy("cell", "piece").cogroup(queries.groupBy("cell", "piece")).applyInPandas(_search_piece(beam, cosine), "id long, links long, root long")
+        found = sought.join(graph, "id").groupBy("cell", "piece", "block").cogroup(queries.groupBy("cell", "piece", "block")).applyInPandas(_search_piece(beam, cosine), "id long, links long, root long")
         found = stored(found, "found")
         recall = audit(classes, found, cosine)
         if recall >= RECALL:

@@ -69,7 +69,7 @@ def mix(documents: DataFrame) -> DataFrame:
     whole = Window.partitionBy()
     aims = aims.withColumn("block", F.greatest(F.floor(F.sum("target").over(whole) / BLOCKS), F.lit(1)))
     aims = aims.withColumn("seats", F.round(F.sum("target").over(whole) / F.col("block")).cast("long")).withColumn("most", F.ceil(F.col("target") / F.col("block")) + 1)
-    won = _seats(aims.withColumn("all", F.lit(1)), ["all"], "target", "seats", "most")
+    won = _seats(aims, [], "target", "seats", "most")  # one small sort: BLOCKS quotients and two for each source
     shards = F.greatest(F.ceil(F.col("source_size") / F.greatest(F.lit(SHARD_WORDS), F.col("block") * SHARD_BLOCKS)), F.lit(1)).cast("long")
     aims = aims.join(won, "source_key", "left").select(
         "source_key", "source_size", "target", "block", F.coalesce("won", F.lit(0)).alias("source_won"), shards.alias("shards")

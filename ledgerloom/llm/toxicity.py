@@ -150,7 +150,7 @@ def _scores(column: pa.Array, model: OrdinalModel | None, may: np.ndarray | None
         signal, hits = np.bincount(row, model.weights[at], n), np.bincount(row, minlength=n)
     above = model.probabilities(signal)
     grades = np.concatenate([1 - above[:, :1], above[:, :-1] - above[:, 1:], above[:, -1:]], 1)
-    return {"severity": above.sum(1), "grade": grades.argmax(1).astype(np.int32), "p_toxic": above[:, 0], "toxic": above[:, 0] >= REJECT_AT, "n_cues": hits}
+    return {"severity": above.sum(1), "grade": grades.argmax(1).astype(np.int32), "p_toxic": above[:, 0], "toxic": (above[:, 0] >= REJECT_AT) & (hits > 0), "n_cues": hits}
 
 
 def _lookup(model: OrdinalModel | None) -> np.ndarray | None:
