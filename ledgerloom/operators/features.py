@@ -2,12 +2,12 @@
 
 Three branches read the past lines, each pre-aggregated before its shuffle:
 
-* invoices  -> months per customer -> customer (recency, frequency, money, rhythm, returns)
+* invoices  -> days per customer -> customer (recency, frequency, money, rhythm, returns)
 * products  -> (customer, product) -> customer (discounts, popularity, category mix)
 * countries -> (customer, country) -> customer
 
 The branches end partitioned by customer, so joining them shuffles nothing again. A customer who owns a
-third of all lines is spread over its invoices, months and products until only a few rows are left.
+third of all lines is spread over its invoices, days and products until only a few rows are left.
 """
 
 from __future__ import annotations
@@ -54,17 +54,18 @@ def orders(past: DataFrame) -> DataFrame:
     )
 
 
-def _month_stats(invoices: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Per customer and calendar month: sums, extremes and squared gaps between orders.
+def _day_stats(invoices: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """Per customer and calendar day: sums, extremes and squared gaps between orders.
 
-    Orders at one instant have no gap between them, so the distinct instants of a month (its seconds at
-    most, however many orders there are) hold all gap information.
+    Orders at one instant have no gap between them, so they are one row first. The instants of a day are
+    ordered by a window, which spills, and never gathered into an array.
     """
     recent = F.col("date") >= instant(cfg.cutoff) - F.make_interval(days=F.lit(RECENT_DAYS))
     span = F.floor(elapsed_days(F.col("date"), instant(cfg.cutoff)) / SPAN_DAYS)
     slope = F.when(span < TREND_SPANS, F.lit((TREND_SPANS - 1) / 2) - span)
-    dated = invoices.withColumns({"month": F.trunc("date", "month"), "recent": recent, "slope": slope})
-    months = dated.groupBy("customer_id", "month").agg(
+    dated = invoices.withColumns({"day": F.to_date("date"), "recent": recent, "slope": slope})
+    sums = ("orders", "amount", "units", "net", "returned", "recent_orders", "recent_amount", "slope")
+    instants = dated.groupBy("customer_id", "day", "date").agg(
         F.count("date").alias("orders"),
         F.sum("amount").alias("amount"),
         F.sum("units").alias("units"),
@@ -73,18 +74,14 @@ def _month_stats(invoices: DataFrame, cfg: EngineConfig) -> DataFrame:
         F.count_if("recent").alias("recent_orders"),
         F.sum(F.when(F.col("recent"), F.col("amount"))).alias("recent_amount"),
         F.sum("slope").alias("slope"),
-        F.sort_array(F.collect_set("date")).alias("instants"),
     )
-    squared = F.aggregate(
-        F.sequence(F.lit(1), F.size("instants") - 1),
-        F.lit(0.0),
-        lambda acc, i: acc + _gap_seconds(F.get("instants", i - 1), F.get("instants", i)) ** 2,
-    )
-    return months.select(
-        *[c for c in months.columns if c != "instants"],
-        F.get("instants", F.lit(0)).alias("first_date"),
-        F.get("instants", F.size("instants") - 1).alias("last_date"),
-        F.when(F.size("instants") > 1, squared).otherwise(0.0).alias("squared_gaps"),
+    earlier = F.lag("date").over(W.partitionBy("customer_id", "day").orderBy("date"))
+    gaps = instants.withColumn("squared", F.coalesce(_gap_seconds(earlier, F.col("date")) ** 2, F.lit(0.0)))
+    return gaps.groupBy("customer_id", "day").agg(
+        *[F.sum(c).alias(c) for c in sums],
+        F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"),
+        F.sum("squared").alias("squared_gaps"),
     )
 
 
@@ -95,9 +92,9 @@ def _gap_seconds(start: Column, end: Column) -> Column:
 def order_profile(past: DataFrame, cfg: EngineConfig) -> DataFrame:
     """All features that come from invoices; one row per customer with at least one purchase."""
     cutoff = instant(cfg.cutoff)
-    months = _month_stats(invoice_totals(past), cfg)
-    earlier = F.lag("last_date").over(W.partitionBy("customer_id").orderBy("month"))
-    bridged = months.withColumn(
+    days = _day_stats(invoice_totals(past), cfg)
+    earlier = F.lag("last_date").over(W.partitionBy("customer_id").orderBy("day"))
+    bridged = days.withColumn(
         "squared_gaps",
         F.col("squared_gaps") + F.coalesce(_gap_seconds(earlier, F.col("first_date")) ** 2, F.lit(0.0)),
     )
@@ -111,7 +108,7 @@ def order_profile(past: DataFrame, cfg: EngineConfig) -> DataFrame:
         F.sum("returned").alias("returned"),
         F.sum("recent_orders").alias("recent_orders"),
         F.sum("recent_amount").alias("recent_amount"),
-        *[F.sum(F.when(F.month("month") == m, F.col("orders"))).alias(f"month_{m}") for m in range(1, 13)],
+        *[F.sum(F.when(F.month("day") == m, F.col("orders"))).alias(f"month_{m}") for m in range(1, 13)],
         F.min("first_date").alias("first_date"),
         F.max("last_date").alias("last_date"),
         F.sum("squared_gaps").alias("squared_gaps"),
