@@ -7,10 +7,9 @@ coordinates at once.
 
 Texts with equal shingle sets form a class; its smallest id speaks for it. In each band bucket every class is
 paired with the smallest one (a star, linear in the bucket), pairs are verified on full sets, and links become
-components. Only buckets whose classes still lie in different components are compared further, and only pairs from
-different components: in blocks of bounded size, pre-filtered by an eight-bit signature estimate (a pair at the
-threshold is passed over with a chance below 1e-8) and verified exactly. With 32 bands of 4 coordinates a pair at
-the threshold shares no bucket with a chance of 5e-6.
+components. Only buckets whose classes still lie in different components are compared further: their classes are cut
+into blocks of bounded size, and a task intersects the full sets of two blocks and reports the links between
+different components. With 32 bands of 4 coordinates a pair at the threshold shares no bucket with a chance of 5e-6.
 
 Defined results: null and blank texts have empty sets and are linked with nothing; rows with a null id take part in
 no link, have a null component and stay; rows that repeat an id are one node; ties go to the smallest id.
@@ -32,10 +31,8 @@ from ledgerloom.llm.text import mix, pieces, shingles, utf8, word_hashes, words
 UNIVERSE = 1 << 20
 BANDS, BAND_ROWS = 32, 4
 PERCENT = 75
-#: Rows of a block of a bucket; a task compares two blocks at a time.
-BLOCK = 256
-#: Of 128 eight-bit coordinates, equal ones below which a pair isn't verified: six deviations under 75 per cent.
-LEAST_EQUAL = 64
+#: Classes of a block of a bucket; a task intersects two blocks, ``COLUMNS`` shingles at a time.
+BLOCK, COLUMNS = 512, 8192
 
 _TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -67,7 +64,7 @@ def shingle_sets(column: pa.Array) -> list[np.ndarray]:
     return [np.unique(h[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
 
-SKETCH = "n long, f1 long, f2 long, bands array<long>, low binary"
+SKETCH = "n long, f1 long, f2 long, bands array<long>"
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,9 +79,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in range(BAND_ROWS):
             key = mix(key * np.uint64(0xD6E8FEB86659FD93) + wide[:, :, r])
         flat = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * BANDS, pa.int32()), pa.array(key.reshape(-1).view(np.int64)))
-        low = pa.array([row.tobytes() for row in (signs & np.uint32(255)).astype(np.uint8)], pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [piece.column("doc_id"), pa.array(n), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), flat, low], ["doc_id", "n", "f1", "f2", "bands", "low"]
+            [piece.column("doc_id"), pa.array(n), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), flat], ["doc_id", "n", "f1", "f2", "bands"]
         )
 
 
@@ -128,21 +124,42 @@ def verify(pairs: DataFrame, documents: DataFrame, percent: int = PERCENT) -> Da
     return joined.mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
-def _cross_pairs(kind: str):
-    """Pairs of one or two blocks of a bucket that lie in different components and look alike."""
+def _intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the left with the right sets, by products of incidence blocks."""
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(np.concatenate(sets), kind="stable")
+    values, row = np.concatenate(sets)[order], row[order]
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    column = np.cumsum(new) - 1
+    often = np.bincount(column)[column] > 1  # a shingle of one set is in no intersection
+    row, column = row[often], column[often]
+    fresh = np.ones(len(column), bool)
+    fresh[1:] = column[1:] != column[:-1]
+    column = np.cumsum(fresh) - 1
+    out = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [at, at + COLUMNS])
+        part = np.zeros((len(sets), COLUMNS), np.float32)
+        part[row[a:b], column[a:b] - at] = 1
+        out += part[left] @ part[right].T
+    return out
+
+
+def _cross_links(kind: str, percent: int):
+    """Links between different components within one block of a bucket or between two."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         ids, comp, block = rows["id"].to_numpy(), rows["component"].to_numpy(), rows["block"].to_numpy()
-        low = np.frombuffer(b"".join(rows["low"]), np.uint8).reshape(len(rows), -1)
-        left = np.flatnonzero(block == rows["i"].iloc[0])
-        right = np.flatnonzero(block == rows["j"].iloc[0])
-        out: list[tuple[np.ndarray, np.ndarray]] = []
-        for at in left:
-            other = right[(comp[right] != comp[at]) & (ids[right] != ids[at])]
-            near = other[(low[other] == low[at]).sum(1) >= LEAST_EQUAL]
-            out.append((np.minimum(ids[near], ids[at]), np.maximum(ids[near], ids[at])))
-        a, b = (np.concatenate([p[k] for p in out]) if out else ids[:0] for k in (0, 1))
-        return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+        if (comp == comp[0]).all():
+            return pd.DataFrame({"a": ids[:0], "b": ids[:0]})
+        left, right = np.flatnonzero(block == rows["i"].iloc[0]), np.flatnonzero(block == rows["j"].iloc[0])
+        sets = [np.frombuffer(v, np.uint64) for v in rows["set"]]
+        size = np.array([len(s) for s in sets])
+        both = _intersections(sets, left, right)
+        x, y = np.nonzero((100 * both >= percent * (size[left][:, None] + size[right][None] - both)) & (comp[left][:, None] != comp[right][None]))
+        x, y = ids[left[x]], ids[right[y]]
+        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}).drop_duplicates()
 
     return run, f"a {kind}, b {kind}"
 
@@ -152,7 +169,7 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     kind = documents.schema["doc_id"].dataType.simpleString()
     sketch = stored(documents.select("doc_id", "text").mapInArrow(_sketch, f"doc_id {kind}, {SKETCH}"), "sketch")
     usable = sketch.where("doc_id is not null and n > 0")
-    classes = stored(usable.groupBy("f1", "f2", "n").agg(F.min(F.struct("doc_id", "bands", "low")).alias("first")).select("f1", "f2", "n", "first.*"), "classes")
+    classes = stored(usable.groupBy("f1", "f2", "n").agg(F.min(F.struct("doc_id", "bands")).alias("first")).select("f1", "f2", "n", "first.*"), "classes")
     bands = classes.select(F.col("doc_id").alias("id"), F.explode("bands").alias("bucket"))
     heads = bands.groupBy("bucket").agg(F.min("id").alias("a"), F.count("*").alias("size")).where("size > 1")
     star = bands.join(heads, "bucket").where("id <> a").select("a", F.col("id").alias("b")).distinct()
@@ -160,8 +177,7 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     twins = usable.join(same_id, "doc_id").join(classes.select("f1", "f2", "n", F.col("doc_id").alias("head")), ["f1", "f2", "n"]).select(F.least("head", "doc_id").alias("a"), F.greatest("head", "doc_id").alias("b")).where("a <> b")
     links = stored(verify(star, documents, percent).unionByName(twins), "links")
     label = stored(components(links), "labels")
-    more = _across(classes, bands, label, kind).join(star, ["a", "b"], "left_anti")
-    found = stored(verify(more, documents, percent), "links")
+    found = stored(_across(documents, bands, label, percent), "links")
     if not found.isEmpty():
         label = stored(components(links.unionByName(found)), "labels")
     named = classes.join(label, classes["doc_id"] == label["node"], "left").select("f1", "f2", "n", F.coalesce("component", "doc_id").alias("component_id"))
@@ -171,18 +187,18 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _across(classes: DataFrame, bands: DataFrame, label: DataFrame, kind: str) -> DataFrame:
-    """Pairs from different components that share a bucket of three or more classes, as verified stars leave them."""
+def _across(documents: DataFrame, bands: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Links between components that share a bucket of three or more classes, as verified stars leave them."""
     placed = bands.join(label.select(F.col("node").alias("id"), "component"), "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
     placed = stored(placed, "placed")
-    split = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low <> high and size > 2")
+    split = placed.groupBy("bucket").agg(F.min("component").alias("first"), F.max("component").alias("last"), F.count("*").alias("size")).where("first <> last and size > 2")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    rows = placed.join(split.select("bucket", blocks.alias("blocks")), "bucket")
+    rows = stored(placed.join(split.select("bucket", blocks.alias("blocks")), "bucket"), "open")
+    sets = sets_of(documents, rows, "id")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    rows = rows.join(classes.select(F.col("doc_id").alias("id"), "low"), "id")
     pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))
-    rows = rows.withColumn("pair", F.explode(pair)).select("bucket", "pair.i", "pair.j", "block", "id", "component", "low")
-    run, schema = _cross_pairs(kind)
+    rows = rows.withColumn("pair", F.explode(pair)).select("bucket", "pair.i", "pair.j", "block", "id", "component").join(sets, "id")
+    run, schema = _cross_links(bands.schema["id"].dataType.simpleString(), percent)
     return rows.groupBy("bucket", "i", "j").applyInPandas(run, schema).distinct()
 
 
