@@ -56,8 +56,8 @@ def best_mixture(points: DataFrame, k: int, cfg: EngineConfig):
     return max((m.fit(points) for m in starts), key=lambda m: m.summary.logLikelihood)
 
 
-def _quality(name: str, k: int, labelled: DataFrame, inertia: float | None, cfg: EngineConfig) -> dict:
-    silhouette = segments.silhouette(labelled, Z_COLUMNS, "cluster", cfg).first().silhouette
+def _quality(name: str, k: int, labelled: DataFrame, inertia: float | None) -> dict:
+    silhouette = segments.silhouette_all(labelled, Z_COLUMNS, "cluster").first().silhouette
     scatter = segments.davies_bouldin(labelled, Z_COLUMNS, "cluster").first().davies_bouldin
     return {"model": name, "k": k, "inertia": inertia, "silhouette": silhouette, "davies_bouldin": scatter}
 
@@ -71,11 +71,11 @@ def fit_segments(train: DataFrame, cfg: EngineConfig) -> SegmentModel:
     for k in cfg.cluster_k:
         fitted[k] = best_kmeans(points, k, cfg)
         quality.append(
-            _quality("KMeans", k, fitted[k].transform(points), fitted[k].summary.trainingCost, cfg)
+            _quality("KMeans", k, fitted[k].transform(points), fitted[k].summary.trainingCost)
         )
     chosen = max(quality, key=lambda q: q["silhouette"])["k"]
     mixture = best_mixture(points, chosen, cfg)
-    quality.append(_quality("GaussianMixture", chosen, mixture.transform(points), None, cfg))
+    quality.append(_quality("GaussianMixture", chosen, mixture.transform(points), None))
     named = segments.segment_names(fitted[chosen].transform(points)).collect()
     points.unpersist()
     return SegmentModel(scaling, fitted[chosen], mixture, {r.cluster: r.segment for r in named}, quality)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -43,6 +44,32 @@ def segment_inputs(customers: DataFrame, scaling: dict[str, tuple[float, float]]
     return scaled.withColumnsRenamed({f"z_log_{c}": f"z_{c}" for c in SEGMENT_COLUMNS}).drop(*names)
 
 
+def silhouette_all(points: DataFrame, columns: Sequence[str], cluster: str) -> DataFrame:
+    """Mean silhouette of all rows under squared Euclidean distances, in time linear in the rows.
+
+    The mean squared distance of a row to a cluster follows from the cluster's size, means and mean square, so
+    only one row for each cluster is compared with every customer.
+    """
+    rows = points.select(F.col(cluster).cast("int").alias("cluster"), *columns)
+    square = reduce(lambda a, b: a + b, [F.col(c) * F.col(c) for c in columns])
+    facts = rows.groupBy("cluster").agg(F.count("*").alias("n"), *[F.avg(c).alias(c) for c in columns], F.avg(square).alias("square"))
+    listed = facts.agg(F.collect_list(F.struct("cluster", "n", *columns, "square")).alias("clusters"))
+
+    def reach(s):
+        product = reduce(lambda a, b: a + b, [F.col(c) * s[c] for c in columns])
+        return F.greatest(square - 2 * product + s["square"], F.lit(0.0))
+
+    # One row that lists the clusters.
+    placed = rows.crossJoin(F.broadcast(listed)).withColumn(
+        "reach", F.transform("clusters", lambda s: F.struct(s["cluster"].alias("cluster"), s["n"].alias("n"), reach(s).alias("d")))
+    )
+    own = F.get(F.filter("reach", lambda s: s["cluster"] == F.col("cluster")), F.lit(0))
+    inside = own["d"] * own["n"] / F.nullif(own["n"] - 1, F.lit(0))
+    nearest = F.array_min(F.transform(F.filter("reach", lambda s: s["cluster"] != F.col("cluster")), lambda s: s["d"]))
+    width = F.when((own["n"] > 1) & (F.greatest(inside, nearest) > 0), (nearest - inside) / F.greatest(inside, nearest)).otherwise(0.0)
+    return placed.agg(F.avg(width).alias("silhouette"), F.count("*").alias("rows"))
+
+
 def silhouette(points: DataFrame, columns: Sequence[str], cluster: str, cfg: EngineConfig) -> DataFrame:
     """Mean Euclidean silhouette over a hash-ordered sample of ``cfg.silhouette_sample`` customers.
 

@@ -645,6 +645,29 @@ def silhouette(spark, folder):
     return rounded(segments.silhouette(points, [f"z_{c}" for c in SEGMENT_COLUMNS], "cluster", CFG))
 
 
+_SQUARE = " + ".join(f"p.z_{c} * p.z_{c}" for c in SEGMENT_COLUMNS)
+STEPS["cluster_facts"] = f"""
+SELECT cluster, count(*) AS n, {', '.join(f'avg(z_{c}) AS z_{c}' for c in SEGMENT_COLUMNS)}, avg({_SQUARE}) AS square
+FROM points p WHERE partition = 'train' GROUP BY cluster"""
+STEPS["cluster_reach"] = f"""
+SELECT p.customer_id, p.cluster, s.cluster AS other, s.n,
+       greatest({_SQUARE} - 2 * ({' + '.join(f'p.z_{c} * s.z_{c}' for c in SEGMENT_COLUMNS)}) + s.square, 0) AS d
+FROM points p CROSS JOIN cluster_facts s WHERE p.partition = 'train'"""
+
+
+@query(
+    "silhouette_all",
+    """SELECT round(avg(CASE WHEN n > 1 AND greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0 END), 6) AS silhouette,
+    count(*) AS rows FROM (
+      SELECT customer_id, max(d * n / (n - 1)) FILTER (other = cluster AND n > 1) AS a, min(d) FILTER (other <> cluster) AS b,
+             max(n) FILTER (other = cluster) AS n FROM cluster_reach GROUP BY customer_id)""",
+)
+def silhouette_all(spark, folder):
+    """The measure that chooses the number of clusters, over every train row."""
+    points = segments.segment_inputs(_scored(spark, folder)).filter(F.col("partition") == "train")
+    return rounded(segments.silhouette_all(points, [f"z_{c}" for c in SEGMENT_COLUMNS], "cluster"))
+
+
 STEPS["centroids"] = f"""
 SELECT cluster, {', '.join(f'avg(z_{c}) AS z_{c}' for c in SEGMENT_COLUMNS)}
 FROM points WHERE partition = 'train' GROUP BY cluster"""
