@@ -4,12 +4,16 @@ Only vectors with equal labels (and lengths) are compared, by cosine in double p
 that is searched once. Per label, spherical k-means cells are fitted on a bounded sample; every class is indexed in
 its two nearest cells, so cells overlap. A cell above ``PIECE`` classes is cut by a hash into pieces. Each piece
 builds a graph in which a robust prune keeps edges in different directions; a class's adjacency lists from all its
-pieces are united. Every class then searches all pieces of its nearest cell, greedily from the piece's medoid, and
-once in range expands every neighbour in range. Hits are verified in double precision. A task reports a count for
-each query and a spanning forest of its links, never all pairs.
+pieces are united. Every class then searches all pieces of every cell that can be the nearest of a vector in range:
+such a vector lies beyond the plane between the two centres, so a cell is left out only if the class is farther from
+that plane than two vectors in range can be from each other. A piece is searched greedily from its medoid, and once
+in range every neighbour in range is expanded. A hit counts in its nearest cell only; its second cell only leads the
+search. Hits are verified in double precision. A task reports a count for each query and a spanning forest of its
+links, never all pairs.
 
 The recall is audited against brute force for ``AUDIT`` classes chosen by hash, and the search is repeated with a
-doubled beam while it is below ``RECALL``.
+doubled beam while it is below ``RECALL``. After ``WIDENINGS`` beams the pieces are compared row by row instead, and
+if even that stays below, the query fails.
 
 Defined results: a vector that is null, zero, empty or has null or non-finite components, or whose label or id is
 null, has no links; its component is its own id (null if the id is null) and it stays. Rows that repeat an id and
@@ -165,6 +169,11 @@ def search(queries: np.ndarray, x: np.ndarray, adjacent: np.ndarray, medoid: int
     return who[keep], what[keep]
 
 
+def scan(queries: np.ndarray, x: np.ndarray, cosine: float = COSINE) -> tuple[np.ndarray, np.ndarray]:
+    """(query, row) pairs with a cosine of at least ``cosine``, all of them."""
+    return np.nonzero(queries @ x.T >= cosine)
+
+
 def _cells(sample: pd.DataFrame, sizes: dict) -> dict:
     """Unit centres of each (label, length) group of the sample."""
     out = {}
@@ -182,26 +191,43 @@ def _cells(sample: pd.DataFrame, sizes: dict) -> dict:
     return out
 
 
-def _assigner(centres: dict, first: dict):
+def reachable_cells(x: np.ndarray, centres: np.ndarray, cosine: float = COSINE) -> np.ndarray:
+    """Whether a vector with a cosine of at least ``cosine`` to the row can have its nearest centre in the cell.
+
+    With home centre c, such a y of cell d has y (c - d) <= 0, so the row's x (c - d) is at most |x - y| |c - d|.
+    """
+    sim = x @ centres.T
+    home = sim.argmax(1)
+    apart = np.sqrt(np.maximum(2 - 2 * (centres @ centres.T), 0))
+    apart += 1e-6  # centres that nearly coincide lose digits
+    return sim.max(1)[:, None] - sim <= np.sqrt(max(2 - 2 * cosine, 0)) * apart[home] + 1e-9
+
+
+def _assigner(centres: dict, first: dict, cosine: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             labels, dims = batch.column("label").to_pylist(), batch.column("dim").to_pylist()
             flat, ends = batch.column("v").flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(dims)])
             cells = np.zeros((batch.num_rows, 2), np.int64)
+            sought: list = [None] * batch.num_rows
             groups: dict = {}
             for row, key in enumerate(zip(labels, dims)):
                 groups.setdefault(key, []).append(row)
             for key, rows in groups.items():
                 if key not in centres:  # no row of the group is in the sample: one cell of its own
                     cells[rows] = -1 - zlib.crc32(repr(key).encode())
+                    for r in rows:
+                        sought[r] = cells[r, :1]
                     continue
                 x = unit(np.stack([flat[ends[r] : ends[r + 1]] for r in rows]).astype(np.float64))
                 sim = x @ centres[key].T
+                for r, may in zip(rows, reachable_cells(x, centres[key], cosine)):
+                    sought[r] = np.flatnonzero(may) + first[key]
                 best = sim.argmax(1)
                 sim[np.arange(len(rows)), best] = -3
                 second = sim.argmax(1) if sim.shape[1] > 1 else best
                 cells[rows] = np.stack([best, second], 1) + first[key]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells[:, 0]), pa.array(cells[:, 1])], [*batch.schema.names, "home", "other"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells[:, 0]), pa.array(cells[:, 1]), pa.array(sought, pa.list_(pa.int64()))], [*batch.schema.names, "home", "other", "sought"])
 
     return run
 
@@ -213,13 +239,22 @@ def _build_piece(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"id": ids, "to": [ids[a[a >= 0]] for a in adjacent]})
 
 
-def _search_piece(beam: int, cosine: float):
+def _search_piece(beam: int | None, cosine: float):
+    """Without a beam every row is compared."""
+
     def run(index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(index) or not len(queries):
             return pd.DataFrame({"id": [], "links": [], "root": []}, dtype="int64")
         index = index.sort_values("id")
-        ids, copies = index["id"].to_numpy(), index["copies"].to_numpy()
+        if beam is None:
+            index = index[index["own"]]
+            if not len(index):
+                return pd.DataFrame({"id": [], "links": [], "root": []}, dtype="int64")
+        ids, copies, own = index["id"].to_numpy(), index["copies"].to_numpy(), index["own"].to_numpy(bool)
         x = unit(matrix(index["v"]))
+        asked = queries["asked"].to_numpy()
+        if beam is None:
+            return _counted(asked, ids, copies, *scan(unit(matrix(queries["x"])), x, cosine))
         lists = [np.asarray(t, np.int64) for t in index["to"]]
         at = [np.searchsorted(ids, t) for t in lists]
         at = [a[(a < len(ids)) & (ids[np.minimum(a, len(ids) - 1)] == t)] for a, t in zip(at, lists)]
@@ -228,21 +263,25 @@ def _search_piece(beam: int, cosine: float):
             adjacent[row, : len(a)] = a
         medoid = int((x @ x.mean(0)).argmax())
         adjacent = _connected(adjacent, medoid, (x @ x.T).astype(np.float32))
-        asked = queries["asked"].to_numpy()
         who, what = search(unit(matrix(queries["x"])), x, adjacent, medoid, beam, cosine)
-        other = asked[who] != ids[what]
-        who, what = who[other], what[other]
-        links = np.bincount(who, copies[what], len(asked)).astype(np.int64)
-        names, inverse = np.unique(np.concatenate([asked, ids]), return_inverse=True)
-        root = _roots(len(names), inverse[who], np.searchsorted(names, ids[what]))
-        count = np.zeros(len(names), np.int64)
-        count[inverse[: len(asked)]] = links
-        keep = (count > 0) | (root != np.arange(len(names)))
-        return pd.DataFrame({"id": names[keep], "links": count[keep], "root": names[root[keep]]})
+        return _counted(asked, ids, copies, who[own[what]], what[own[what]])
 
     return run
 
 
+def _counted(asked: np.ndarray, ids: np.ndarray, copies: np.ndarray, who: np.ndarray, what: np.ndarray) -> pd.DataFrame:
+    """(id, links, root) of the hits of a task."""
+    other = asked[who] != ids[what]
+    who, what = who[other], what[other]
+    links = np.bincount(who, copies[what], len(asked)).astype(np.int64)
+    names, inverse = np.unique(np.concatenate([asked, ids]), return_inverse=True)
+    root = _roots(len(names), inverse[who], np.searchsorted(names, ids[what]))
+    count = np.zeros(len(names), np.int64)
+    count[inverse[: len(asked)]] = links
+    keep = (count > 0) | (root != np.arange(len(names)))
+    return pd.DataFrame({"id": names[keep], "links": count[keep], "root": names[root[keep]]})
+
+
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The smallest member of each node's component."""
     root = np.arange(n)
@@ -275,27 +314,29 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     first, at = {}, 0
     for key, c in centres.items():
         first[key], at = at, at + len(c)
-    placed = classes.select("id", "copies", "label", "dim", "v").mapInArrow(_assigner(centres, first), "id long, copies long, label string, dim int, v array<double>, home long, other long")
+    placed = classes.select("id", "copies", "label", "dim", "v").mapInArrow(_assigner(centres, first, cosine), "id long, copies long, label string, dim int, v array<double>, home long, other long, sought array<long>")
     placed = stored(placed, "placed")
-    index = placed.select("id", "copies", "v", F.explode(F.array_distinct(F.array("home", "other"))).alias("cell"))
+    index = placed.select("id", "copies", "v", "home", F.explode(F.array_distinct(F.array("home", "other"))).alias("cell")).withColumn("own", F.expr("cell = home")).drop("home")
     pieces = index.groupBy("cell").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("pieces"))
     index = index.join(pieces, "cell").withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"))
-    queries = placed.select(F.col("id").alias("asked"), F.col("v").alias("x"), F.col("home").alias("cell")).join(pieces, "cell")
-    # Queries of a crowded cell are cut as well, so a task has one piece and one block of queries.
-    each = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
-    queries = queries.withColumn("block", F.pmod(F.xxhash64("asked", F.lit("block")), F.col("pieces")).cast("int")).withColumn("piece", each).drop("pieces")
-    sought = index.withColumn("block", each).drop("pieces")
+    queries = placed.select(F.col("id").alias("asked"), F.col("v").alias("x"), F.explode("sought").alias("cell"))
+    # Queries of a cell are cut as well, so a task has one piece and one block of queries.
+    blocks = queries.groupBy("cell").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("blocks"))
+    queries = queries.join(pieces, "cell").join(blocks, "cell")
+    queries = queries.withColumn("block", F.pmod(F.xxhash64("asked", F.lit("block")), F.col("blocks")).cast("int"))
+    queries = queries.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces", "blocks")
+    sought = index.join(blocks, "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("pieces", "blocks")
     graph = index.groupBy("cell", "piece").applyInPandas(_build_piece, "id long, to array<long>")
     # At most two lists of bounded length for each class.
     graph = stored(graph.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("to"))).alias("to")), "graph")
-    beam = BEAM
-    for _ in range(WIDENINGS):
+    for beam in [*(BEAM << k for k in range(WIDENINGS)), None]:
         found = sought.join(graph, "id").groupBy("cell", "piece", "block").cogroup(queries.groupBy("cell", "piece", "block")).applyInPandas(_search_piece(beam, cosine), "id long, links long, root long")
         found = stored(found, "found")
         recall = audit(classes, found, cosine)
         if recall >= RECALL:
             break
-        beam *= 2
+    else:
+        raise RuntimeError(f"the search found {recall:.3f} of the audited links, less than {RECALL}")
     label = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")).where("a <> b"))
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     named = classes.drop("v").join(counts, "id", "left").join(label.withColumnRenamed("node", "id"), "id", "left")

@@ -197,6 +197,25 @@ def test_flat_graph_finds_links(spark):
     assert np.mean([got[k].component_id == root[k] for k in range(len(rows))]) > 0.98
 
 
+def test_flat_graph_links_a_group_that_is_cut_into_cells(spark, monkeypatch):
+    monkeypatch.setattr(flatgraph, "CELL", 60)
+    draw = np.random.default_rng(5)
+    hot = draw.normal(size=16) + 0.1 * draw.normal(size=(400, 16))
+    rows = np.concatenate([hot, draw.normal(size=(500, 16))])
+    table = spark.createDataFrame([(k, [float(c) for c in v], 1) for k, v in enumerate(rows)], "vec_id long, embedding array<double>, label int")
+    x = flatgraph.unit(rows)
+    near = x @ x.T >= 0.98
+    np.fill_diagonal(near, False)
+    got = {r.vec_id: r for r in flatgraph.near_vectors(table).collect()}
+    found = np.array([got[k].n_links for k in range(len(rows))])
+    assert (found <= near.sum(1)).all() and found.sum() >= 0.98 * near.sum() > 10_000
+    root = reachable(len(rows), np.argwhere(near).tolist())
+    assert np.mean([got[k].component_id == root[k] for k in range(len(rows))]) > 0.98
+    monkeypatch.setattr(flatgraph, "audit", lambda *_: 0.5)
+    with pytest.raises(RuntimeError, match="audited links"):
+        flatgraph.near_vectors(table)
+
+
 def test_robust_prune_reaches_every_row():
     x = flatgraph.unit(np.random.default_rng(1).normal(size=(400, 12)))
     medoid, adjacent = flatgraph.build(x)
