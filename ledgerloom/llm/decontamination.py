@@ -1,10 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
 The test items are the stated query set. They are taken in blocks of bounded size, and a block's n-grams are sent to
-every task. A first pass counts in how many documents each of these n-grams occurs; an item's seeds are those of its
-n-grams that occur in at most ``RARE_SHARE`` of the documents, and always the ``LEAST_SEEDS`` rarest that occur. A second pass finds the
-seeds in whole texts, and aligns the item with the stretch of words around each seed hit. The score of an alignment
-(match 2, mismatch and gap -1) is divided by that of the item with itself.
+every task. Every n-gram of an item is a seed, however frequent, since a part that is enough for the threshold may
+consist of frequent ones only. The seeds are found in whole texts, and the item is aligned with the stretch of words
+around each seed hit, unless the stretch holds so few of the item's words that no alignment can reach the threshold.
+The score of an alignment (match 2, mismatch and gap -1) is divided by that of the item with itself.
 
 Words are runs of letters, digits, apostrophes and bytes above 127, lower case. Nothing is shuffled but counts, so
 hot sources, copies and passages need no care.
@@ -27,13 +27,13 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.text import IS_BREAK, pieces, shingles, utf8, word_hashes, words
 
 SEED_WORDS = 3
-RARE_SHARE = 1e-3
-LEAST_SEEDS = 12
 THRESHOLD = 0.5
 #: Bytes of item texts in a block; blocks are searched one after the other.
 BLOCK_BYTES = 4 << 20
 MATCH, MISS = 2, 1
 ALIGN_ROWS = 512
+#: Places where an item may lie in a text, looked at together.
+SPOTS = 1 << 18
 
 
 @dataclass
@@ -108,42 +108,11 @@ def item_blocks(items: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[Bl
         yield Block(got.column("item_id").to_pylist(), h, bounds, grams, gram_of, item, place)
 
 
-def document_counts(documents: DataFrame, block: Block) -> tuple[int, np.ndarray]:
-    """The number of documents, and in how many of them each n-gram of the block occurs."""
-    grams, may = block.grams, _bits(block.grams)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, rows = np.zeros(len(grams), np.int64), 0
-        for piece in pieces(batches):
-            g, text, _ = _grams(*_hashes(piece.column("text")))
-            where, which = _find(grams, may, g)
-            pair = np.unique(text[where] * len(grams) + which) if len(grams) else where
-            seen += np.bincount(pair % max(1, len(grams)), minlength=len(grams))
-            rows += piece.num_rows
-        found = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(found, -1)), pa.array(np.append(seen[found], rows))], ["gram", "n"])
-
-    got = documents.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
-    counts, total = np.zeros(len(grams), np.int64), 0
-    for gram, n in zip(got["gram"], got["n"]):
-        if gram < 0:
-            total = int(n)
-        else:
-            counts[gram] = n
-    return total, counts
-
-
-def choose_seeds(block: Block, total: int, counts: np.ndarray) -> Seeds:
-    n = counts[block.gram_of]
-    order = np.lexsort((block.grams[block.gram_of], n, block.item_of))
-    order = order[n[order] > 0]  # an n-gram that no document has finds none
-    start = np.searchsorted(block.item_of[order], np.arange(len(block.ids)))
-    rank = np.arange(len(order)) - start[block.item_of[order]]
-    chosen = np.sort(order[(rank < LEAST_SEEDS) | (n[order] <= RARE_SHARE * total)])
-    chosen = chosen[np.argsort(block.gram_of[chosen], kind="stable")]
-    kept, first = np.unique(block.gram_of[chosen], return_index=True)
-    grams = block.grams[kept]
-    return Seeds(grams, np.append(first, len(chosen)), block.item_of[chosen], block.place_of[chosen], _bits(grams))
+def seeds_of(block: Block) -> Seeds:
+    """Every n-gram of the block's items, with the places where it stands."""
+    chosen = np.argsort(block.gram_of, kind="stable")
+    first = np.searchsorted(block.gram_of[chosen], np.arange(len(block.grams) + 1))
+    return Seeds(block.grams, first, block.item_of[chosen], block.place_of[chosen], _bits(block.grams))
 
 
 def align(items: np.ndarray, sizes: np.ndarray, stretches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,26 +137,58 @@ def align(items: np.ndarray, sizes: np.ndarray, stretches: np.ndarray) -> tuple[
     return best, end
 
 
+def _spots(text: np.ndarray, place: np.ndarray, which: np.ndarray, block: Block, seeds: Seeds) -> np.ndarray:
+    """Distinct (text, item, slot) of the seed hits; a slot is a quarter of the item long."""
+    times = seeds.first[which + 1] - seeds.first[which]
+    upto = np.cumsum(times)
+    found, at = [np.zeros((3, 0), np.int64)], 0
+    while at < len(which):  # so many hits at once that memory doesn't follow how many items share an n-gram
+        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + SPOTS, "right")))
+        n = times[at:end]
+        owner = np.repeat(np.arange(at, end), n)
+        entry = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(seeds.first[which[at:end]], n)
+        item = seeds.item[entry]
+        pad = np.maximum(4, np.diff(block.bounds)[item] // 4)
+        found.append(np.unique(np.stack([text[owner], item, np.floor_divide(place[owner] - seeds.place[entry], pad)]), axis=1))
+        at = end
+    return np.unique(np.concatenate(found, 1), axis=1)
+
+
+def _can_reach(h: np.ndarray, start: np.ndarray, width: np.ndarray, item: np.ndarray, block: Block, threshold: float) -> np.ndarray:
+    """Whether the stretch of a spot holds so many of its item's words that an alignment can reach the threshold.
+
+    Every match needs a word of the item that the stretch holds, and is worth as much as in the item itself.
+    """
+    size = np.diff(block.bounds)[item]
+    out, at, upto = np.zeros(len(item), bool), 0, np.cumsum(width + size)
+    while at < len(item):
+        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + 16 * SPOTS, "right")))
+        turn = (np.arange(end - at).astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)  # words of different spots differ
+
+        def keys(words: np.ndarray, first: np.ndarray, n: np.ndarray, turn: np.ndarray = turn) -> np.ndarray:
+            return words[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)] + np.repeat(turn, n)
+
+        asked = keys(block.words, block.bounds[:-1][item[at:end]], size[at:end])
+        held = np.isin(asked, keys(h, start[at:end], width[at:end]))
+        common = np.bincount(np.repeat(np.arange(end - at), size[at:end]), held, end - at)
+        out[at:end] = common / size[at:end] >= threshold
+        at = end
+    return out
+
+
 def _search(column: pa.Array, block: Block, seeds: Seeds, threshold: float) -> tuple[np.ndarray, ...]:
     """(text, item, score, first word, word past the end) of the best passage of each pair at the threshold."""
     h, bounds = _hashes(column)
     g, text, place = _grams(h, bounds)
     where, which = _find(seeds.grams, seeds.may, g)
-    times = seeds.first[which + 1] - seeds.first[which]
-    owner = np.repeat(np.arange(len(where)), times)
-    entry = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(seeds.first[which], times)
-    item, doc = seeds.item[entry], text[where[owner]]
-    size = np.diff(block.bounds)[item]
-    pad = np.maximum(4, size // 4)
-    shift = place[where[owner]] - seeds.place[entry]
-    slot = np.floor_divide(shift, pad)
-    spots = np.unique(np.stack([doc, item, slot]), axis=1) if len(doc) else np.zeros((3, 0), np.int64)
-    doc, item, slot = spots
+    doc, item, slot = _spots(text[where], place[where], which, block, seeds)
     size = np.diff(block.bounds)[item]
     pad = np.maximum(4, size // 4)
     counts = np.diff(bounds)[doc]
     low = np.clip(slot * pad - pad, 0, counts)
     high = np.clip(slot * pad + 2 * pad + size, 0, counts)
+    may = _can_reach(h, bounds[doc] + low, high - low, item, block, threshold)
+    doc, item, low, high, size = (v[may] for v in (doc, item, low, high, size))
     scores, ends = np.zeros(len(doc)), np.zeros(len(doc), np.int64)
     padded, known = np.append(h, np.uint64(0)), np.append(block.words, np.uint64(0))
     order = np.argsort(size, kind="stable")
@@ -212,7 +213,7 @@ def contaminated(documents: DataFrame, items: DataFrame, threshold: float = THRE
     schema = f"doc_id {kinds[0].simpleString()}, item_id {kinds[1].simpleString()}, score double, first_word long, end_word long"
     out = documents.sparkSession.createDataFrame([], schema)
     for block in item_blocks(items):
-        seeds = choose_seeds(block, *document_counts(documents, block))
+        seeds = seeds_of(block)
         ids = pa.array(block.ids)
 
         def run(batches: Iterator[pa.RecordBatch], block: Block = block, seeds: Seeds = seeds, ids: pa.Array = ids) -> Iterator[pa.RecordBatch]:
@@ -229,7 +230,7 @@ def contaminated(documents: DataFrame, items: DataFrame, threshold: float = THRE
 def decontaminate(documents: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows that hold no passage of an item, with all their columns."""
     for block in item_blocks(items):
-        seeds = choose_seeds(block, *document_counts(documents, block))
+        seeds = seeds_of(block)
 
         def run(batches: Iterator[pa.RecordBatch], block: Block = block, seeds: Seeds = seeds) -> Iterator[pa.RecordBatch]:
             for piece in pieces(batches):

@@ -238,6 +238,17 @@ def test_decontamination_of_edited_copies(spark, frame):
     assert got == {(31 + k, k) for k in range(6)}
 
 
+def test_decontamination_of_frequent_parts(spark, frame):
+    draw = random.Random(19)
+    item = [f"only{k}" for k in range(60)]
+    part = [" ".join(text_of(30, draw) + item[:36] + text_of(30, draw)) for _ in range(30)]
+    texts = [*part, " ".join(text_of(30, draw) + item), *(" ".join(text_of(90, draw)) for _ in range(69))]
+    table = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: r.score for r in decontamination.contaminated(frame(texts), table).collect()}
+    assert set(got) == set(range(1, 32)) and got[31] == 1 and all(0.6 <= got[k] < 0.7 for k in range(1, 31))
+    assert {r.doc_id for r in decontamination.decontaminate(frame(texts), table).collect()} == set(range(32, 101))
+
+
 def test_alignment_is_smith_waterman():
     draw = np.random.default_rng(2)
     for _ in range(50):
