@@ -7,6 +7,10 @@ source, documents are dealt by a seeded hash into shards of about ``SHARD_WORDS`
 to its shards the same way. A shard lays its documents out in seeded order and takes its quota from the front, after
 as many whole rounds as the quota holds.
 
+A block grows with the corpus, so a source far smaller than a block can win none. With ``words`` each shard then gets
+what rounding to blocks leaves of its part of the target, in words, more or less: a source's words come to its target
+but for rounding to one word. The pipeline mixes so; the query keeps whole blocks, as its SQL does.
+
 The number of blocks is fixed, so ranking quotients is a small sort at any input size; a hot source has more shards,
 not a larger one.
 
@@ -16,7 +20,7 @@ that repeat an id are mixed one by one; an empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.shared import stored
@@ -57,7 +61,15 @@ def targets(sizes: DataFrame) -> DataFrame:
     return rows.select("source_key", "no_source", "place", "source_size", target.alias("target"))
 
 
-def mix(documents: DataFrame) -> DataFrame:
+def _owed() -> Column:
+    """A shard's part of its source's target in whole words; the parts add up to the rounded target."""
+    upto = Window.partitionBy("source_key").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum("shard_size").over(upto)
+    part = lambda size: F.round(F.col("target") * size / F.col("source_size")).cast("long")
+    return F.when(F.col("source_size") > 0, part(end) - part(end - F.col("shard_size"))).otherwise(0)
+
+
+def mix(documents: DataFrame, words: bool = False) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken) of every row."""
     # Spark's patterns know no shorter way to say "not ASCII white space".
     count = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]++")), F.lit(0)).cast("long")
@@ -77,12 +89,12 @@ def mix(documents: DataFrame) -> DataFrame:
     name = F.concat_ws(":", F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string"))
     rows = sizes.join(aims, "source_key").withColumn("key", F.md5(name))
     rows = rows.withColumn("shard", F.pmod(F.conv(F.substring("key", 1, 8), 16, 10).cast("long"), F.col("shards")))
-    totals = rows.groupBy("source_key", "shard").agg(F.sum("size").alias("shard_size"), *(F.first(c).alias(c) for c in ("source_size", "source_won", "block")))
+    totals = rows.groupBy("source_key", "shard").agg(F.sum("size").alias("shard_size"), *(F.first(c).alias(c) for c in ("source_size", "source_won", "block", "target")))
     totals = totals.withColumn("place", F.col("shard")).withColumn("most", F.ceil(F.col("source_won") * F.col("shard_size") / F.col("source_size")) + 1)
     quotas = _seats(totals, ["source_key"], "shard_size", "source_won", "most").withColumnRenamed("won", "shard_won")
-    quotas = totals.join(quotas, ["source_key", "shard"], "left").select(
-        "source_key", "shard", "shard_size", F.least(F.coalesce("shard_won", F.lit(0)) * F.col("block"), F.col("shard_size") * MOST).alias("quota")
-    )
+    dealt = F.coalesce("shard_won", F.lit(0)) * F.col("block")
+    rest = _owed() - dealt if words else F.lit(0)
+    quotas = totals.join(quotas, ["source_key", "shard"], "left").select("source_key", "shard", "shard_size", F.least(dealt + rest, F.col("shard_size") * MOST).alias("quota"))
     order = Window.partitionBy("source_key", "shard").orderBy("key", "doc_id")
     rows = rows.join(quotas, ["source_key", "shard"]).withColumn("before", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     rounds = F.when(F.col("shard_size") > 0, F.floor(F.col("quota") / F.col("shard_size"))).otherwise(0)

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from ledgerloom.llm import attention, automaton, decontamination, disclosure, flatgraph, language, minhash, mixing, passages, toxicity
 from ledgerloom.llm.shared import components, prepare
 
@@ -334,3 +335,15 @@ def test_mixing_comes_near_its_targets(spark):
         assert abs(sum(r.taken for r in mine) - mine[0].target) <= max(3, 0.01 * mine[0].target)
         assert all(r.taken <= 2 * r.size for r in mine) and mine[0].target <= 2 * mine[0].source_size
     assert sum({r.source: r.target for r in got}.values()) == pytest.approx(1.5 * total)
+
+
+def test_mixture_gives_tiny_sources_their_target(spark):
+    rows = [(k, "w " * 5000, "hot") for k in range(400)] + [(1000 + k, "w " * (3 + k % 9), f"tiny{k:02}") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = corpus_pipeline.mixture(spark, docs, "").collect()
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        assert 0 <= r.taken <= 2 * r.size
+    assert len(target) == 61 and all(target[k] > 0 and abs(taken[k] - target[k]) <= 1 for k in target)
