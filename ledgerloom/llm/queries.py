@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import attention, automaton, decontamination, disclosure, flatgraph, language, minhash, mixing, passages, toxicity
+from ledgerloom.llm import attention, automaton, decontamination, disclosure, flatgraph, language, minhash, mixing, passages, periodic, sketch, toxicity
 from ledgerloom.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,33 @@ FROM v LEFT JOIN n ON v.vec_id = n.a LEFT JOIN comp ON v.vec_id = comp.a
 """
 
 
+
+
+def _sketch_sql(text: str, name: str, rows: str) -> str:
+    width, last = sketch.SHINGLE_WORDS, sketch.SHINGLE_WORDS - 1
+    return rf"""{name}_w AS (SELECT *, regexp_extract_all({text}, '[^\x20\x09-\x0D]+') AS w FROM {rows}),
+{name}_h AS (SELECT * EXCLUDE (w), CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < {width} THEN [md5(array_to_string(w, ' '))]
+  ELSE list_transform(range(1, len(w) - {last} + 1), lambda i: md5(array_to_string(w[i:i + {last}], ' '))) END AS h FROM {name}_w),
+{name} AS (SELECT * EXCLUDE (h), list_sort(list_distinct(list_transform(CASE WHEN len(list_filter(h, lambda x: x < '{sketch.BELOW}')) > 0
+  THEN list_filter(h, lambda x: x < '{sketch.BELOW}') WHEN len(h) > 0 THEN [list_min(h)] ELSE h END, lambda x: x[1:{sketch.DIGITS}]))) AS {name}_sketch FROM {name}_h)"""
+
+
+def _contained_sql(one: str, other: str) -> str:
+    return f"CASE WHEN len({one}) = 0 THEN CASE WHEN len({other}) = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END ELSE len(list_intersect({one}, {other}))::DOUBLE / len({one}) END"
+
+
+SKETCH_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+{_sketch_sql("text", "own", "d")},
+n AS (SELECT *, coalesce(lead(text) OVER w, first_value(text) OVER w) AS next_text, coalesce(lead(own_sketch) OVER w, first_value(own_sketch) OVER w) AS next_sketch
+  FROM own WINDOW w AS (ORDER BY doc_id NULLS FIRST)),
+e AS (SELECT *, left(text, length(text) - length(text) // 4) || left(next_text, length(text) // 4) AS changed FROM n),
+{_sketch_sql("changed", "new", "e")}
+SELECT doc_id, length(text)::BIGINT AS n_chars, sha256(changed) AS edited_sha256, array_to_string(own_sketch, ',') AS fingerprint,
+  array_to_string(new_sketch, ',') AS edited_fingerprint, {_contained_sql("own_sketch", "new_sketch")} AS near_edited, {_contained_sql("own_sketch", "next_sketch")} AS near_next FROM new
+"""
+
+
 @query("op1_passages")
 def repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     return passages.repeated_passages(table(spark, folder, "documents"))
@@ -141,3 +168,13 @@ def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 def severity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     return toxicity.score(documents, toxicity.fit(documents, table(spark, folder, "labels")))
+
+
+@query("op11_sketch", SKETCH_SQL)
+def fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return sketch.fingerprints(table(spark, folder, "documents"))
+
+
+@query("op12_periodic")
+def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic.digest(periodic.find_runs(periodic.with_periods(table(spark, folder, "documents"))))
