@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import attention, automaton, decontamination, disclosure, flatgraph, language, minhash, mixing, passages, periodic, sketch, toxicity
+from ledgerloom.llm import attention, automaton, conversations, decontamination, disclosure, flatgraph, language, minhash, mixing, passages, periodic, sketch, toxicity
 from ledgerloom.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +178,8 @@ def fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_periodic")
 def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic.digest(periodic.find_runs(periodic.with_periods(table(spark, folder, "documents"))))
+
+
+@query("op13_conversations")
+def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(table(spark, folder, "conversations")))
