@@ -10,7 +10,7 @@ is contained in B, and ``merged`` gives the sketch of a union from the sketches
 
 ``with_next`` puts the next document beside each: ids are cut into ranges at quantiles of a bounded summary, the first row
 of a range is also sent to the end of the one before, and a window within a range looks one row ahead. An id that fills
-several shares is dealt over as many places. So no task orders the whole table; texts are shuffled once.
+several shares is dealt over as many places, where the next row is one of the same place. So no task orders the whole table; texts are shuffled once.
 
 Defined results: a null text is empty; a text without words has an empty fingerprint, which is contained in another
 empty one only; nulls come first in the order of ids; rows that repeat an id are neighbours, ordered by a hash of their
@@ -20,6 +20,8 @@ ignored. Very long texts are hashed whole.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,11 +95,13 @@ def _at(values: list[int], index: str) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), F.col(index) + 1)
 
 
-def with_next(documents: DataFrame, columns: list[str], ranges: int | None = None) -> DataFrame:
+def with_next(documents: DataFrame, columns: list[str], ranges: int | None = None, derive: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """(doc_id, *columns, next): ``next`` holds the columns of the row that follows by id, of the first row after the last.
 
+    What ``derive`` adds to the rows is made after they were shuffled and is part of ``next`` too.
+
     ``columns`` begin with the text, whose hash orders rows of one id. An id that fills k shares is dealt over k places,
-    and all but the last of them close to a ring, so that the next row is one of the same id there.
+    and all but the last of them that hold rows close to a ring, so that the next row is one of the same id there.
     """
     cuts = _ranges(documents, ranges or RANGES_PER_PARTITION * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cuts = cuts or [(FIRST, 1)]
@@ -106,17 +110,22 @@ def with_next(documents: DataFrame, columns: list[str], ranges: int | None = Non
     rows = rows.withColumn("range", F.size(F.filter(F.array(*[F.lit(k) for k in starts]), lambda start: start <= F.col("k"))) - 1)
     deal = F.when(F.col("k") == _at(starts, "range"), F.pmod(F.monotonically_increasing_id(), _at(fills, "range")).cast("int"))
     rows = rows.withColumn("part", F.coalesce(deal, _at(fills, "range") - 1))
-    # At most as many rows as there are ranges.
-    first = {r["range"]: r["tie"] for r in rows.groupBy("range").agg(F.min_by("tie", F.struct("k", "tie")).alias("tie")).collect()}
+    # At most as many rows as there are ranges: the first row of each, and the last of its places that holds rows.
+    ends = rows.groupBy("range").agg(F.min(F.struct("k", "part", "tie")).alias("first"), F.max("part").alias("last"))
+    ends = {r["range"]: r for r in ends.collect()}
+    first = [ends[j]["first"] if j in ends else (FIRST, -1, 0) for j in range(len(starts))]
+    last = [ends[j]["last"] if j in ends else 0 for j in range(len(starts))]
     before = [(j - 1) % len(starts) for j in range(len(starts))]
-    leads = (F.col("k") == _at(starts, "range")) & (F.col("tie") == _at([first.get(j, 0) for j in range(len(starts))], "range")) & (F.col("part") == 0)
+    leads = (F.col("k") == _at(starts, "range")) & (F.col("part") == _at([f[1] for f in first], "range")) & (F.col("tie") == _at([f[2] for f in first], "range"))
     own = F.struct("range", "part", F.lit(0).alias("guest"))
-    guest = F.struct(_at(before, "range").alias("range"), _at([fills[j] - 1 for j in before], "range").alias("part"), F.lit(1).alias("guest"))
+    guest = F.struct(_at(before, "range").alias("range"), _at([last[j] for j in before], "range").alias("part"), F.lit(1).alias("guest"))
     placed = rows.withColumn("place", F.explode(F.when(leads, F.array(own, guest)).otherwise(F.array(own)))).drop("range", "part")
-    order = Window.partitionBy("place.range", "place.part").orderBy("place.guest", "k", "tie")
+    placed = derive(placed.select("doc_id", *columns, "k", "tie", "place.*").repartition("range", "part"))
+    columns = [c for c in placed.columns if c not in ("doc_id", "k", "tie", "range", "part", "guest")]
+    order = Window.partitionBy("range", "part").orderBy("guest", "k", "tie")
     value = F.struct(*columns)
     following = F.coalesce(F.lead(value).over(order), F.first(value).over(order))
-    return placed.withColumn("next", following).where("place.guest = 0").select("doc_id", *columns, "next")
+    return placed.withColumn("next", following).where("guest = 0").select("doc_id", *columns, "next")
 
 
 def edited(text: str, following: str) -> str:
@@ -127,8 +136,8 @@ def edited(text: str, following: str) -> str:
 
 def fingerprints(documents: DataFrame) -> DataFrame:
     """Each row's fingerprint and that of its edited text, and how far its sketch is contained in the edited text's and the next row's."""
-    plain = sketch(documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
-    paired = with_next(plain, ["text", "sketch"]).selectExpr("doc_id", "text", "sketch", "next.sketch as next_sketch", f"{edited('text', 'next.text')} as changed")
+    plain = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    paired = with_next(plain, ["text"], derive=sketch).selectExpr("doc_id", "text", "sketch", "next.sketch as next_sketch", f"{edited('text', 'next.text')} as changed")
     both = sketch(paired, "changed", "changed_sketch")
     return both.select(
         "doc_id",
