@@ -203,8 +203,13 @@ def _across(documents: DataFrame, bands: DataFrame, label: DataFrame, percent: i
 
 
 def deduplicate(documents: DataFrame) -> DataFrame:
-    """The rows that stay, with all their columns: one of each component, and one row of those that repeat its id."""
+    """The rows that stay, with all their columns: those of one document of each component.
+
+    Rows of one id are one document and stay or go together; of rows that repeat an id and its text one stays. Rows with
+    a null id all stay.
+    """
     gone = near_duplicates(documents).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
     salt = "salt" + "_" * max(map(len, documents.columns))
     rest = documents.join(gone, documents["doc_id"] == gone["gone"], "left_anti")
-    return rest.withColumn(salt, F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())).dropDuplicates(["doc_id", salt]).drop(salt)
+    same = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id().cast("string")).otherwise(F.md5(F.coalesce("text", F.lit(""))))
+    return rest.withColumn(salt, same).dropDuplicates(["doc_id", salt]).drop(salt)

@@ -1,16 +1,23 @@
-"""Toxicity by cumulative-link ordinal regression over sparse word features.
+"""Toxicity by cumulative-link ordinal regression over sparse text features.
 
-Severity grades come from the labels: grade 0 is not toxic; toxic texts are cut at the median number of distinct
-cue words into grade 1 and grade 2. One weight per cue is shared by all thresholds:
+Features of a text are its distinct words (runs of letters, digits, apostrophes and bytes above 127, lower case) and their
+beginnings of four to six characters, hashed to ``BUCKETS`` places. A feature counts by how many standard deviations its
+share of toxic labelled texts stands above or below chance, less two; features within two deviations drop out. There is no
+other selection: the regression, with a ridge penalty, weighs the rest.
+
+Severity grades come from the labels: grade 0 is not toxic; toxic texts are cut at the median of their evidence (the sum of
+their features above chance) into grade 1 and grade 2. One weight a feature is shared by all thresholds:
 P(grade > k) = logistic(w.x - threshold_k), and the expected severity is the sum over k.
 
-Cues are words (runs of letters, digits, apostrophes and bytes above 127, lower case) whose share among toxic
-labelled texts stands at least ``CUE_Z`` standard deviations above chance. The model is fitted on a bounded sample
-of labelled rows; scoring reads every whole text in one map pass.
+The probability from which a text is rejected is learned from labelled rows that a fit has not seen: the sample is scored in
+``FOLDS`` parts by models of the other parts, and the cut is the lowest one that rejects at most ``FALSE_SHARE`` of the clean
+rows, moved to the middle of the gap below the next toxic row. The model is fitted on a bounded sample of labelled rows;
+scoring reads every whole text in one map pass.
 
-Defined results: a null or empty text has no cues; without usable labels (an empty table, or one class only)
-every severity is 0 and nothing is rejected; a repeated label counts once with its largest grade; rows with a null
-id are scored like others; extra columns are ignored by ``score`` and kept by ``reject``.
+Defined results: a null or empty text has no features; without usable labels (an empty table, or one class only)
+every severity is 0 and nothing is rejected; a repeated label counts once with its largest grade; of rows that repeat a
+labelled id the smallest text is fitted; rows with a null id are scored like others; a text without any feature is not
+rejected; extra columns are ignored by ``score`` and kept by ``reject``. Very long texts are read whole.
 """
 
 from __future__ import annotations
@@ -24,25 +31,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.shared import stored
-from ledgerloom.llm.text import IS_BREAK, pieces, utf8, word_hashes, words
+from ledgerloom.llm.text import IS_BREAK, Words, mix, pieces, utf8, word_hashes, words
 
 #: At most this many labelled rows, chosen by a hash of the id, fit the model.
 LABELLED_ROWS = 20_000
-#: At most this many cues, the strongest first, enter the model.
-CUES = 4096
-CUE_Z = 6.0
+BUCKETS = 1 << 20
+BEGINNINGS = (4, 5, 6)
 THRESHOLDS = 2
+#: Deviations from chance by which a feature is shrunk.
+SHRINK = 2
 RIDGE = 1e-3
-REJECT_AT = 0.5
+STEPS = 200
+FOLDS = 3
+FALSE_SHARE = 0.005
 
 SCORES = "severity double, grade int, p_toxic double, toxic boolean, n_cues long"
 
 
 @dataclass
 class OrdinalModel:
-    cues: np.ndarray
+    """A weight for each hashed feature, which of them count for toxicity, thresholds, and the rejecting probability."""
+
     weights: np.ndarray
+    above: np.ndarray
     thresholds: np.ndarray
+    cut: float = 0.5
 
     def probabilities(self, signal: np.ndarray) -> np.ndarray:
         """P(grade > k) for each threshold, one row for each text."""
@@ -50,18 +63,27 @@ class OrdinalModel:
 
 
 def text_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of each text's distinct words and their bounds."""
+    """(text, bucket) of every word and word beginning, with repeats."""
     found = words(*utf8(column), separators=IS_BREAK)
-    h = word_hashes(found).view(np.int64)
-    parts = [np.unique(h[a:b]) for a, b in zip(found.bounds[:-1], found.bounds[1:])]
-    return (np.concatenate(parts) if parts else h[:0]), np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+    text = np.repeat(np.arange(len(column)), found.counts)
+    hashes, texts = [word_hashes(found)], [text]
+    head = np.append((found.data & 0xC0) != 0x80, True)
+    place, number = np.flatnonzero(head), np.cumsum(head) - 1
+    for size in BEGINNINGS:
+        end = place[np.minimum(number[found.starts] + size, len(place) - 1)]
+        longer = end < found.ends
+        hashes.append(mix(word_hashes(Words(found.data, found.starts[longer], end[longer], found.bounds)) + np.uint64(size)))
+        texts.append(text[longer])
+    return np.concatenate(texts), (np.concatenate(hashes) >> np.uint64(44)).astype(np.int64)
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in pieces(batches):
-        h, bounds = text_features(piece.column("text"))
-        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(h))
-        yield pa.RecordBatch.from_arrays([piece.column("toxic").cast(pa.int32()), lists], ["toxic", "words"])
+        text, bucket = text_features(piece.column("text"))
+        pair = np.unique(text * BUCKETS + bucket)
+        ends = np.searchsorted(pair, np.arange(piece.num_rows + 1) * BUCKETS)
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(pair % BUCKETS, pa.int32()))
+        yield pa.RecordBatch.from_arrays([piece.column("toxic").cast(pa.int32()), lists], ["toxic", "features"])
 
 
 def fit(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> OrdinalModel | None:
@@ -74,49 +96,64 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> O
         .limit(rows)
     )
     # At most ``rows`` pairs of numbers: small enough to be sent to every task.
-    sample = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "toxic")
-    sample = stored(sample.mapInArrow(_features, "toxic int, words array<long>"), "labelled")
-    total, toxic = sample.agg(F.count("*"), F.sum((F.col("toxic") > 0).cast("long"))).first()
-    if not total or not toxic or toxic == total:
+    found = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    sample = stored(found.orderBy("doc_id").select("text", "toxic").mapInArrow(_features, "toxic int, features array<int>"), "labelled")
+    got = sample.toArrow().combine_chunks()
+    toxic = got.column("toxic").to_numpy() > 0
+    if not len(toxic) or not toxic.any() or toxic.all():
         return None
-    chance = toxic / total
-    counts = sample.select((F.col("toxic") > 0).cast("long").alias("t"), F.explode("words").alias("word")).groupBy("word").agg(F.sum("t").alias("t"), F.count("*").alias("n"))
-    z = (F.col("t") - F.col("n") * chance) / F.sqrt(F.col("n") * chance * (1 - chance))
-    chosen = counts.select("word", z.alias("z")).where(F.col("z") >= CUE_Z).orderBy(F.desc("z"), "word").limit(CUES).toPandas()
-    cues = np.sort(chosen["word"].to_numpy(np.int64))
-    if not len(cues):
-        return OrdinalModel(cues, np.zeros(0), _base_thresholds(np.array([1 - chance, chance])))
-
-    def cue_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("words")
-            flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy())
-            row = np.repeat(np.arange(batch.num_rows), ends)
-            at = np.minimum(np.searchsorted(cues, flat), len(cues) - 1)
-            hit = cues[at] == flat
-            sizes = np.bincount(row[hit], minlength=batch.num_rows)
-            out = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(at[hit], pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), out], ["toxic", "at"])
-
-    got = sample.mapInArrow(cue_rows, "toxic int, at array<long>").toPandas()
-    found = [np.asarray(x, np.int64) for x in got["at"]]
-    return _fit_ordinal(cues, found, got["toxic"].to_numpy() > 0)
-
-
-def _base_thresholds(share: np.ndarray) -> np.ndarray:
-    above = np.clip(np.array([share[1], share[1] / 2]), 1e-6, 1 - 1e-6)
+    lists = got.column("features").combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    col, row = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.repeat(np.arange(len(toxic)), np.diff(lists.offsets.to_numpy()))
+    return fit_features(row, col, toxic)
+
+
+def fit_features(row: np.ndarray, col: np.ndarray, toxic: np.ndarray) -> OrdinalModel:
+    """Fit on (row, bucket) pairs and the rows' classes; rows are dealt to the folds in turn, class by class."""
+    model = _fit_ordinal(row, col, toxic)
+    fold = np.empty(len(toxic), np.int64)
+    for side in (toxic, ~toxic):
+        fold[side] = np.arange(side.sum()) % FOLDS
+    chance = np.zeros(len(toxic))
+    for k in range(FOLDS):
+        seen = fold != k
+        if not toxic[seen].any() or toxic[seen].all():
+            return model
+        number = np.cumsum(seen) - 1
+        train = seen[row]
+        part = _fit_ordinal(number[row[train]], col[train], toxic[seen])
+        chance[~seen] = part.probabilities(np.bincount(row, part.weights[col], len(toxic))[~seen])[:, 0]
+    return OrdinalModel(model.weights, model.above, model.thresholds, learned_cut(chance, toxic))
+
+
+def learned_cut(chance: np.ndarray, toxic: np.ndarray) -> float:
+    """The lowest cut that is exceeded by at most ``FALSE_SHARE`` of the clean rows, halfway to the next toxic row."""
+    clean = np.sort(chance[~toxic])[::-1]
+    edge = clean[int(FALSE_SHARE * len(clean))]
+    over = chance[toxic & (chance > edge)]
+    return float((edge + over.min()) / 2) if len(over) else 0.5
+
+
+def _base_thresholds(share: float) -> np.ndarray:
+    above = np.clip(np.array([share, share / 2]), 1e-6, 1 - 1e-6)
     return np.log((1 - above) / above)
 
 
-def _fit_ordinal(cues: np.ndarray, found: list[np.ndarray], toxic: np.ndarray, steps: int = 600) -> OrdinalModel:
-    n, size = len(found), np.array([len(f) for f in found])
-    row, col = np.repeat(np.arange(n), size), np.concatenate(found).astype(np.int64)
-    median = np.median(size[toxic])
-    grade = toxic.astype(int) + (toxic & (size > 0) & (size >= median))
-    w, theta = np.zeros(len(cues)), _base_thresholds(np.array([1 - toxic.mean(), toxic.mean()]))
+def _fit_ordinal(row: np.ndarray, col: np.ndarray, toxic: np.ndarray, steps: int = STEPS) -> OrdinalModel:
+    n, share = len(toxic), toxic.mean()
+    count = np.bincount(col, minlength=BUCKETS)
+    deviation = (np.bincount(col, toxic[row].astype(float), BUCKETS) - count * share) / np.sqrt(np.maximum(count, 1) * share * (1 - share))
+    scale = np.sign(deviation) * np.maximum(np.abs(deviation) - SHRINK, 0)
+    use = scale[col] != 0
+    row, col = row[use], col[use]
+    place, col = np.unique(col, return_inverse=True)
+    value = scale[place][col]
+    evidence = np.bincount(row, np.maximum(value, 0), n)
+    grade = toxic.astype(int) + (toxic & (evidence > 0) & (evidence >= np.median(evidence[toxic])))
+    w, theta = np.zeros(len(place)), _base_thresholds(share)
     state = [np.zeros(len(w) + THRESHOLDS) for _ in range(2)]
     for step in range(1, steps + 1):
-        signal = np.bincount(row, w[col], n)
+        signal = np.bincount(row, w[col] * value, n)
         above = 1 / (1 + np.exp(np.clip(theta[None] - signal[:, None], -60, 60)))
         upper = np.concatenate([np.ones((n, 1)), above], 1)[np.arange(n), grade]
         lower = np.concatenate([above, np.zeros((n, 1))], 1)[np.arange(n), grade]
@@ -124,50 +161,37 @@ def _fit_ordinal(cues: np.ndarray, found: list[np.ndarray], toxic: np.ndarray, s
         slope_up, slope_low = upper * (1 - upper) / mass, lower * (1 - lower) / mass
         g_signal = slope_low - slope_up
         g_theta = np.array([slope_up[grade == k + 1].sum() - slope_low[grade == k].sum() for k in range(THRESHOLDS)])
-        g = np.concatenate([np.bincount(col, g_signal[row], len(w)) / n + RIDGE * w, g_theta / n])
+        g = np.concatenate([np.bincount(col, g_signal[row] * value, len(w)) / n + RIDGE * w, g_theta / n])
         for s, v, decay in ((0, g, 0.9), (1, g * g, 0.999)):
             state[s] = decay * state[s] + (1 - decay) * v
-        move = 0.05 * (state[0] / (1 - 0.9**step)) / (np.sqrt(state[1] / (1 - 0.999**step)) + 1e-8)
+        move = 0.02 * (state[0] / (1 - 0.9**step)) / (np.sqrt(state[1] / (1 - 0.999**step)) + 1e-8)
         w, theta = w - move[: len(w)], np.maximum.accumulate(theta - move[len(w) :])
-    return OrdinalModel(cues, w, theta)
+    weights = np.zeros(BUCKETS, np.float32)
+    weights[place] = w * scale[place]
+    return OrdinalModel(weights, scale > 0, theta)
 
 
-def _scores(column: pa.Array, model: OrdinalModel | None, may: np.ndarray | None) -> dict[str, np.ndarray]:
+def _scores(column: pa.Array, model: OrdinalModel | None) -> dict[str, np.ndarray]:
     n = len(column)
-    signal, hits = np.zeros(n), np.zeros(n, np.int64)
     if model is None:
         zero = np.zeros(n)
-        return {"severity": zero, "grade": zero.astype(np.int32), "p_toxic": zero, "toxic": zero > 0, "n_cues": hits}
-    if len(model.cues):
-        found = words(*utf8(column), separators=IS_BREAK)
-        h = word_hashes(found).view(np.int64)
-        near = np.flatnonzero(may[h & (len(may) - 1)])
-        at = np.minimum(np.searchsorted(model.cues, h[near]), len(model.cues) - 1)
-        same = model.cues[at] == h[near]
-        row = np.searchsorted(found.bounds, near[same], "right") - 1
-        pair = np.unique(row * len(model.cues) + at[same])
-        row, at = pair // len(model.cues), pair % len(model.cues)
-        signal, hits = np.bincount(row, model.weights[at], n), np.bincount(row, minlength=n)
+        return {"severity": zero, "grade": zero.astype(np.int32), "p_toxic": zero, "toxic": zero > 0, "n_cues": zero.astype(np.int64)}
+    text, bucket = text_features(column)
+    counts = model.weights[bucket] != 0
+    pair = np.unique(text[counts] * BUCKETS + bucket[counts])
+    text, bucket = pair // BUCKETS, pair % BUCKETS
+    signal, hits = np.bincount(text, model.weights[bucket], n), np.bincount(text[model.above[bucket]], minlength=n)
     above = model.probabilities(signal)
     grades = np.concatenate([1 - above[:, :1], above[:, :-1] - above[:, 1:], above[:, -1:]], 1)
-    return {"severity": above.sum(1), "grade": grades.argmax(1).astype(np.int32), "p_toxic": above[:, 0], "toxic": (above[:, 0] >= REJECT_AT) & (hits > 0), "n_cues": hits}
-
-
-def _lookup(model: OrdinalModel | None) -> np.ndarray | None:
-    if model is None:
-        return None
-    may = np.zeros(1 << 16, bool)
-    may[model.cues & (len(may) - 1)] = True
-    return may
+    return {"severity": above.sum(1), "grade": grades.argmax(1).astype(np.int32), "p_toxic": above[:, 0], "toxic": (above[:, 0] >= model.cut) & (hits > 0), "n_cues": hits}
 
 
 def score(documents: DataFrame, model: OrdinalModel | None) -> DataFrame:
     """(doc_id, severity, grade, p_toxic, toxic, n_cues) of every row."""
-    may = _lookup(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
-            got = _scores(piece.column("text"), model, may)
+            got = _scores(piece.column("text"), model)
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *map(pa.array, got.values())], ["doc_id", *got])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
@@ -176,10 +200,9 @@ def score(documents: DataFrame, model: OrdinalModel | None) -> DataFrame:
 
 def reject(documents: DataFrame, model: OrdinalModel | None) -> DataFrame:
     """The rows that are not toxic, with all their columns."""
-    may = _lookup(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
-            yield piece.filter(pa.array(~_scores(piece.column("text"), model, may)["toxic"]))
+            yield piece.filter(pa.array(~_scores(piece.column("text"), model)["toxic"]))
 
     return documents.mapInArrow(run, documents.schema)

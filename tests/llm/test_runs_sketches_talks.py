@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import conversations, periodic, sketch
+from ledgerloom.llm import conversations, minhash, periodic, sketch, toxicity
 from ledgerloom.llm.shared import prepare
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -269,3 +269,28 @@ def test_next_rows_of_few_rows(spark, size):
     frame = spark.createDataFrame([(k, f"single {k}") for k in range(size)], "doc_id long, text string")
     got = sketch.with_next(frame, ["text"], ranges=16).select("text", F.col("next.text").alias("after")).collect()
     assert {r.text: r.after for r in got} == {f"single {k}": f"single {(k + 1) % size}" for k in range(size)}
+
+
+# Rows that share an id, and the learned cut
+
+
+def test_texts_of_one_id_stay_together(spark):
+    copy, other = " ".join(f"c{k}" for k in range(40)), " ".join(f"o{k}" for k in range(40))
+    frame = spark.createDataFrame([(1, copy), (2, copy), (3, other), (3, "quite different words stand here"), (3, other), (None, copy), (None, copy)], "doc_id long, text string")
+    stay = sorted(((r.doc_id, r.text) for r in minhash.deduplicate(frame).collect()), key=str)
+    assert stay == sorted([(1, copy), (3, other), (3, "quite different words stand here"), (None, copy), (None, copy)], key=str)
+
+
+def test_toxic_cut_is_learned_from_rows_not_fitted(spark):
+    draw = random.Random(8)
+    common = [f"word{k}" for k in range(60)]
+    rows = [(k, [draw.choice(common) for _ in range(30)] + ([f"vil{draw.choice('abcdefghij')}ain{draw.randrange(40)}"] if k % 8 == 0 else [])) for k in range(1600)]
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in rows] + [(0, "zzz"), (0, "zzz")], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 8 == 0)) for k in range(800)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    left = {r.doc_id for r in toxicity.reject(docs.where("doc_id >= 800"), model).collect()}
+    toxic = {k for k in range(800, 1600) if k % 8 == 0}
+    assert len(toxic - left) >= 0.9 * len(toxic) and len({k for k in range(800, 1600)} - toxic - left) <= 0.01 * 700
+    assert 0 < model.cut < 0.9
+    chance, side = np.array([0.9, 0.2, 0.3, 0.05, 0.04]), np.array([True, True, False, False, False])
+    assert toxicity.learned_cut(chance, side) == pytest.approx(0.6)
