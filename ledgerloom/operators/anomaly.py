@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.config import EngineConfig
 from ledgerloom.functions.ordering import fit_quantiles
+from ledgerloom.operators.networks import NetworkModel, Schedule, fit_autoencoder
 from ledgerloom.operators.preprocessing import INPUTS, preparation_stages
 
 
@@ -44,11 +45,29 @@ def fit_anomaly(train: DataFrame, validation: DataFrame, cfg: EngineConfig) -> A
     return AnomalyModel(prepared, projection, mean.tolist(), projected.tolist(), limit)
 
 
-def anomaly_scores(customers: DataFrame, model: AnomalyModel) -> DataFrame:
+@dataclass(frozen=True)
+class AnomalyNetwork:
+    """An autoencoder and the frozen threshold of its reconstruction error."""
+
+    network: NetworkModel
+    threshold: float | None = None
+
+
+def fit_anomaly_network(train: DataFrame, validation: DataFrame, cfg: EngineConfig, schedule: Schedule = Schedule()) -> AnomalyNetwork:
+    """A non-linear bottleneck learned from train; the threshold is a validation quantile of its error."""
+    network = fit_autoencoder(train, validation, cfg, schedule)
+    scored = network.transform(validation).select("anomaly_score")
+    return AnomalyNetwork(network, fit_quantiles(scored, {"t": ("anomaly_score", cfg.anomaly_quantile)})["t"])
+
+
+def anomaly_scores(customers: DataFrame, model: AnomalyModel | AnomalyNetwork) -> DataFrame:
     """Mean squared reconstruction error, and the flag once a threshold is known.
 
     Components are orthonormal: the error is the centred length minus the length inside the bottleneck.
     """
+    if isinstance(model, AnomalyNetwork):
+        scored = model.network.transform(customers)
+        return scored if model.threshold is None else scored.withColumn("anomaly", F.col("anomaly_score") > model.threshold)
     placed = model.projection.transform(model.prepared.transform(customers))
 
     def squared(column: str, centre: list[float]):

@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from ledgerloom.config import FEATURES, NUMERIC_FEATURES
 from ledgerloom.operators import (
     anomaly,
+    attributions,
     clustering,
     explain,
     metrics,
     models,
     neighbours,
+    networks,
     segments,
     sequences,
     serving,
@@ -31,9 +33,6 @@ from ledgerloom.session import materialize, shared_folder
 from ledgerloom.sources import store
 from ledgerloom.sources.tables import TABLE_CONFIG as CFG
 
-# The session's frozen run compares these; the boosted candidates have their own queries.
-RUN_CHURN = ("LogisticRegression", "DecisionTree", "RandomForest")
-RUN_VALUE = ("Ridge", "ValueForest")
 _CACHE: dict[tuple[str, str, str], object] = {}
 
 
@@ -72,15 +71,55 @@ def _segments(spark, folder) -> clustering.SegmentModel:
     )
 
 
+def _forest_search(spark, folder):
+    """The winning forest and the logged scores of every grid point and fold."""
+    return _once(spark, folder, "forest", lambda: models.grid_search(models.forest_grid(CFG), _train_with_folds(spark, folder), CFG))
+
+
+def _fold_scores(spark, folder) -> list[tuple[str, str, int, float]]:
+    """(model, metric, fold, score); the networks' folds are trained in shared jobs."""
+
+    def build() -> list[tuple]:
+        train, series = _train_with_folds(spark, folder), _sequences(spark, folder)
+        churn = models.churn_families(CFG)
+        jobs = [
+            ("roc_auc", churn["LogisticRegression"], models.auc),
+            ("roc_auc", churn["DecisionTree"], models.auc),
+            ("r2", models.value_families(CFG)["Ridge"], lambda s: models.r2(s, "clv_90d")),
+            ("neg_mae", models.ridge("next_days", CFG, "TimingRidge"), lambda s: models.negative_mae(s, "next_days")),
+            ("macro_f1", models.category_family(CFG), models.macro_f1_score),
+        ]
+        rows = []
+        for metric, family, score in jobs:
+            scores = models.cross_validate(family, train, CFG, score)
+            rows.extend((family.name, metric, fold, float(value)) for fold, value in enumerate(scores))
+        for fold, model in networks.fold_churn_networks(train, CFG).items():
+            rows.append((training.NETWORK, "roc_auc", fold, float(models.auc(model.transform(train.filter(F.col("fold") == fold))))))
+        for fold, model in networks.fold_timing_networks(series, train, CFG).items():
+            scored = training.score_timing(model, train.filter(F.col("fold") == fold).select("customer_id", "next_days"), series, CFG)
+            rows.append(("TimingNetwork", "neg_mae", fold, float(models.negative_mae(scored.withColumnRenamed("predicted_next_days", "prediction"), "next_days"))))
+        best, log = _forest_search(spark, folder)
+        means: dict[str, list] = {}
+        for r in log.collect():  # one row a grid point and fold
+            means.setdefault(r.parameters, []).append((r.fold, r.auc))
+        winner = max(means.values(), key=lambda found: sum(v for _, v in found) / len(found))
+        rows.extend((best.name, "roc_auc", fold, float(value)) for fold, value in winner)
+        return rows
+
+    return _once(spark, folder, "fold_scores", build)
+
+
 def _run(spark, folder) -> training.FrozenRun:
-    return _once(
-        spark,
-        folder,
-        "run",
-        lambda: training.train_run(
-            _table(spark, folder), _sequences(spark, folder), CFG, RUN_CHURN, RUN_VALUE, _segments(spark, folder)
-        ),
-    )
+    def build() -> training.FrozenRun:
+        folds: dict[str, dict] = {}
+        scores = _fold_scores(spark, folder)
+        for name, metric in {(m, k) for m, k, _, _ in scores}:
+            values = [v for m, k, _, v in scores if (m, k) == (name, metric)]
+            folds.setdefault(name, {})[metric] = sum(values) / len(values)
+        parts = (_table(spark, folder), _sequences(spark, folder), CFG)
+        return training.train_run(*parts, segment_model=_segments(spark, folder), forest=_forest_search(spark, folder)[0], folds=folds)
+
+    return _once(spark, folder, "run", build)
 
 
 def _snapshot(spark, folder) -> DataFrame:
@@ -124,7 +163,14 @@ _churn_query("churn_tree", "DecisionTree")
 _churn_query("churn_forest", "RandomForest")
 _churn_query("churn_gbt", "GradientBoosting")
 _churn_query("churn_gbt_wide", "WideGradientBoosting")
-_churn_query("churn_mlp", "NeuralNetwork")
+
+
+@query("churn_mlp")
+def churn_mlp(spark, folder):
+    """The weighted network, normalised and with dropout, stopped on the validation rows."""
+    model = networks.fit_churn_network(_table(spark, folder, "train"), _table(spark, folder, "validation"), CFG)
+    return training.score_churn(model, _table(spark, folder)).select("customer_id", "partition", "churn", "churn_probability")
+
 
 _KNN = ("recency", "frequency", "monetary")
 _KNN_POINT = ", ".join(
@@ -187,11 +233,8 @@ def timing_ridge(spark, folder):
 @query("timing_sequence")
 def timing_sequence(spark, folder):
     table, series = _table(spark, folder), _sequences(spark, folder)
-    parts = [table.filter(F.col("partition") == p) for p in ("train", "validation")]
-    fitted = models.fit_sequence_timing(series, *parts, CFG)
-    flat = models.flatten_sequences(series)
-    scored = fitted.transform(table.select("customer_id", "partition", "next_days").join(flat, "customer_id"))
-    return scored.select("customer_id", "partition", "next_days", _within_horizon("predicted_next_days"))
+    model = networks.fit_timing_network(series, _table(spark, folder, "train"), _table(spark, folder, "validation"), CFG)
+    return training.score_timing(model, table.select("customer_id", "partition", "next_days"), series, CFG)
 
 
 @query("next_category_forest")
@@ -203,7 +246,7 @@ def next_category_forest(spark, folder):
 
 @query("anomaly_scores")
 def anomaly_scores(spark, folder):
-    fitted = anomaly.fit_anomaly(_table(spark, folder, "train"), _table(spark, folder, "validation"), CFG)
+    fitted = anomaly.fit_anomaly_network(_table(spark, folder, "train"), _table(spark, folder, "validation"), CFG)
     scored = anomaly.anomaly_scores(_table(spark, folder), fitted)
     return scored.select("customer_id", "partition", "anomaly_score", "anomaly")
 
@@ -211,32 +254,43 @@ def anomaly_scores(spark, folder):
 # ---- Selection -------------------------------------------------------------------------------------
 @query("cross_validate")
 def cross_validate(spark, folder):
-    """Fold scores of the linear and tree models for all three tasks."""
-    train = _train_with_folds(spark, folder)
-    churn = models.churn_families(CFG)
-    jobs = [
-        ("roc_auc", churn["LogisticRegression"], models.auc),
-        ("roc_auc", churn["DecisionTree"], models.auc),
-        ("r2", models.value_families(CFG)["Ridge"], lambda s: models.r2(s, "clv_90d")),
-        ("neg_mae", models.ridge("next_days", CFG, "TimingRidge"), lambda s: models.negative_mae(s, "next_days")),
-        ("macro_f1", models.category_family(CFG), models.macro_f1_score),
-    ]
-    rows = []
-    for metric, family, score in jobs:
-        scores = models.cross_validate(family, train, CFG, score)
-        rows.extend((family.name, metric, fold, float(value)) for fold, value in enumerate(scores))
-    return spark.createDataFrame(rows, "model string, metric string, fold int, score double")
+    """Fold scores of the linear, tree, forest and network models for all tasks."""
+    return spark.createDataFrame(_fold_scores(spark, folder), "model string, metric string, fold int, score double")
 
 
 @query("grid_search")
 def grid_search(spark, folder):
     """Every forest grid point on every fold."""
-    return models.grid_search(models.forest_grid(CFG), _train_with_folds(spark, folder), CFG)[1]
+    return _forest_search(spark, folder)[1]
+
+
+@query("learning_curves")
+def learning_curves(spark, folder):
+    """Loss by iteration of every model trained step by step."""
+    return spark.createDataFrame(training.learning_curves(_run(spark, folder)), "model string, iteration int, loss string, value double")
+
+
+_NO_DIFFERENCE = "SELECT count(*) AS customers, CAST(0 AS BIGINT) AS differences FROM partitioned"
+
+
+@query("saved_run_scores", _NO_DIFFERENCE)
+def saved_run_scores(spark, folder):
+    """Customers whose scores by a saved and loaded run differ from those of the run itself."""
+    target = f"{shared_folder(spark).rstrip('/')}/ledgerloom/run-{uuid.uuid4().hex}"
+    training.save_run(_run(spark, folder), target)
+    loaded = training.score_snapshot(training.load_run(target, CFG), _table(spark, folder), _sequences(spark, folder))
+    columns = ["customer_id", *[c for c in training.SCORE_COLUMNS if c != "partition"]]
+    numbers = [c for c, t in loaded.select(*columns).dtypes if t == "double"]
+    pairs = _snapshot(spark, folder).select(*columns).alias("a").join(loaded.select(*columns).alias("b"), "customer_id", "full")
+    apart = [F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) > 1e-9 if c in numbers else ~F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in columns[1:]]
+    missing = [F.col(f"a.{c}").isNull() != F.col(f"b.{c}").isNull() for c in numbers]
+    differ = F.coalesce(F.greatest(*[F.coalesce(x, F.lit(False)) for x in apart + missing]), F.lit(True))
+    return pairs.agg(F.count("*").alias("customers"), F.count_if(differ).alias("differences"))
 
 
 @query("model_comparison")
 def model_comparison(spark, folder):
-    return training.evaluate_test(_run(spark, folder), _table(spark, folder))
+    return training.evaluate_test(_run(spark, folder), _table(spark, folder), _sequences(spark, folder))
 
 
 @query("score_snapshot")
@@ -308,8 +362,8 @@ def _scorer(spark, folder) -> explain.Scorer:
 
 def _contributions(spark, folder) -> DataFrame:
     def build() -> DataFrame:
-        base = explain.background(_table(spark, folder, "train"), CFG)
-        found = explain.sampled_contributions(_table(spark, folder), base, _scorer(spark, folder), CFG)
+        run = _run(spark, folder)
+        found = attributions.contributions(run.churn[run.champion], _table(spark, folder), _table(spark, folder, "train"))
         return materialize(found, "contributions")
 
     return _once(spark, folder, "contributions", build)
@@ -317,9 +371,40 @@ def _contributions(spark, folder) -> DataFrame:
 
 @query("shap_sampled")
 def shap_sampled(spark, folder):
+    """Contributions to the champion's score; exact by now, under the name they had as estimates."""
     return _contributions(spark, folder)
 
 
+@query("shap_tree")
+def shap_tree(spark, folder):
+    """Exact contributions of every feature to every customer's forest score."""
+    run = _run(spark, folder)
+    return attributions.contributions(run.churn["RandomForest"], _table(spark, folder), _table(spark, folder, "train"))
+
+
+_EXPLAINED = ("LogisticRegression", "DecisionTree", "RandomForest", "GradientBoosting")
+
+
+@query(
+    "shap_additivity",
+    f"""SELECT model, count(*) AS customers, CAST(0 AS BIGINT) AS violations
+    FROM partitioned, (SELECT unnest({list(_EXPLAINED)}) AS model) m GROUP BY model""",
+)
+def shap_additivity(spark, folder):
+    """Customers whose baseline and contributions do not add up to the probability that the model gives."""
+    run, table, out = _run(spark, folder), _table(spark, folder), None
+    for name in _EXPLAINED:
+        found = attributions.contributions(run.churn[name], table, _table(spark, folder, "train"))
+        sums = found.groupBy("customer_id").agg((F.first("baseline") + F.sum("contribution")).alias("total"))
+        odds = name in ("LogisticRegression", "GradientBoosting")
+        chance = 1 / (1 + F.exp(-F.col("total"))) if odds else F.col("total")
+        both = training.score_churn(run.churn[name], table).select("customer_id", "churn_probability").join(sums, "customer_id", "left")
+        wrong = F.coalesce(F.abs(chance - F.col("churn_probability")) > 1e-6, F.lit(True))
+        one = both.agg(F.lit(name).alias("model"), F.count("*").alias("customers"), F.count_if(wrong).alias("violations"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("topk_features")
 def topk_features(spark, folder):
     return explain.strongest(_contributions(spark, folder))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.config import FEATURES, EngineConfig
-from ledgerloom.operators import anomaly, clustering, metrics, models, segments, validation
+from ledgerloom.operators import anomaly, clustering, metrics, models, networks, segments, validation
 from ledgerloom.sources.store import fingerprint
 
 SCORE_COLUMNS = (
@@ -30,6 +31,7 @@ SCORE_COLUMNS = (
 )
 CHURN_CANDIDATES = ("LogisticRegression", "DecisionTree", "RandomForest", "GradientBoosting", "WideGradientBoosting")
 VALUE_CANDIDATES = ("Ridge", "ValueForest", "ValueBoosting")
+NETWORK = "NeuralNetwork"
 
 
 @dataclass
@@ -42,17 +44,19 @@ class FrozenRun:
     champion: str
     value: dict[str, PipelineModel]
     value_champion: str
-    timing: PipelineModel
+    timing: networks.NetworkModel
     timing_baseline: PipelineModel
     category: PipelineModel
-    anomaly: anomaly.AnomalyModel
+    anomaly: anomaly.AnomalyNetwork
     segments: clustering.SegmentModel
     tiers: dict[str, float]
     digest: str
+    network: networks.NetworkModel
     validation: dict[str, dict] = field(default_factory=dict)
+    folds: dict[str, dict] = field(default_factory=dict)
 
 
-def score_churn(model: PipelineModel, df: DataFrame) -> DataFrame:
+def score_churn(model: PipelineModel | networks.NetworkModel, df: DataFrame) -> DataFrame:
     """``df`` with the probability of class one."""
     return model.transform(df).select(*df.columns, models.probability().alias("churn_probability"))
 
@@ -70,6 +74,13 @@ def score_category(model: PipelineModel, df: DataFrame) -> DataFrame:
     return scored.select(*own, "predicted_category")
 
 
+def score_timing(model: networks.NetworkModel, df: DataFrame, sequences: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """``df`` with the expected wait, between none and the horizon."""
+    waiting = model.transform(df.select("customer_id").join(sequences, "customer_id"))
+    clipped = F.least(F.greatest("predicted_next_days", F.lit(0.0)), F.lit(float(cfg.horizon_days)))
+    return df.join(waiting.select("customer_id", clipped.alias("predicted_next_days")), "customer_id")
+
+
 def _churn_quality(scored: DataFrame, threshold: float) -> dict:
     cut = F.lit(threshold)
     rates = metrics.classification_metrics(scored, "churn", "churn_probability", cut).first().asDict()
@@ -84,18 +95,27 @@ def train_run(
     churn_candidates: Sequence[str] = CHURN_CANDIDATES,
     value_candidates: Sequence[str] = VALUE_CANDIDATES,
     segment_model: clustering.SegmentModel | None = None,
+    forest: models.Family | None = None,
+    folds: dict[str, dict] | None = None,
+    schedule: networks.Schedule = networks.Schedule(),
 ) -> FrozenRun:
     """Fit on train, choose on validation. ``table`` is a stored modeling table with its partition.
 
-    The champion is the churn model with the best validation AUC and the value model with the best
-    validation R2; the test partition is not read.
+    The champion is the churn model with the best validation AUC, the network left out, and the value model with the
+    best validation R2; the test partition is not read. ``forest`` is the winner of a grid search, ``folds`` the mean
+    fold scores by model and metric, kept for the report.
     """
     train = table.filter(F.col("partition") == "train")
     held = table.filter(F.col("partition") == "validation")
     families, regressors = models.churn_families(cfg), models.value_families(cfg)
+    if forest:
+        families[forest.name] = forest
     churn, thresholds, quality = {}, {}, {}
-    for name in churn_candidates:
-        churn[name] = models.fit(families[name], train, held)
+    for name in (*churn_candidates, NETWORK):
+        if name == NETWORK:
+            churn[name] = networks.fit_churn_network(train, held, cfg, schedule)
+        else:
+            churn[name] = models.fit(families[name], train, held)
         scored = score_churn(churn[name], held)
         chosen = metrics.choose_threshold(scored, "churn", "churn_probability", cfg.recall_target)
         thresholds[name] = chosen.first().threshold
@@ -105,17 +125,20 @@ def train_run(
         value[name] = models.fit(regressors[name], train)
         scored = score_value(value[name], held)
         quality[name] = metrics.regression_metrics(scored, "clv_90d", "predicted_clv_90d").first().asDict()
+    network = churn.pop(NETWORK)
     return FrozenRun(
         cfg=cfg,
         churn=churn,
+        network=network,
+        folds=folds or {},
         thresholds=thresholds,
         champion=max(churn, key=lambda n: quality[n]["roc_auc"]),
         value=value,
         value_champion=max(value, key=lambda n: quality[n]["r2"]),
-        timing=models.fit_sequence_timing(sequences, train, held, cfg),
+        timing=networks.fit_timing_network(sequences, train, held, cfg, schedule),
         timing_baseline=models.fit(models.ridge("next_days", cfg), train),
         category=models.fit(models.category_family(cfg), train),
-        anomaly=anomaly.fit_anomaly(train, held, cfg),
+        anomaly=anomaly.fit_anomaly_network(train, held, cfg, schedule),
         segments=segment_model or clustering.fit_segments(train, cfg),
         tiers=segments.fit_value_tiers(train),
         digest=fingerprint(table).first().digest,
@@ -125,12 +148,7 @@ def train_run(
 
 def score_snapshot(run: FrozenRun, table: DataFrame, sequences: DataFrame) -> DataFrame:
     """Every customer with all score columns."""
-    flat = models.flatten_sequences(sequences)
-    timed = run.timing.transform(table.select("customer_id").join(flat, "customer_id"))
-    horizon = float(run.cfg.horizon_days)
-    waiting = timed.select(
-        "customer_id", F.least(F.greatest("predicted_next_days", F.lit(0.0)), F.lit(horizon)).alias("predicted_next_days")
-    )
+    waiting = score_timing(run.timing, table.select("customer_id"), sequences, run.cfg)
     scored = score_churn(run.churn[run.champion], table)
     scored = score_value(run.value[run.value_champion], scored)
     scored = anomaly.anomaly_scores(scored, run.anomaly)
@@ -163,25 +181,32 @@ def score_batch(run: FrozenRun, rows: DataFrame, cfg: EngineConfig | None = None
     )
 
 
-def evaluate_test(run: FrozenRun, table: DataFrame) -> DataFrame:
-    """Test metrics of every model in the run, one row each."""
+def evaluate_test(run: FrozenRun, table: DataFrame, sequences: DataFrame) -> DataFrame:
+    """Fold, validation and test metrics of every model in the run, one row each."""
     test = table.filter(F.col("partition") == "test")
     rows = []
-    for name, model in run.churn.items():
+    for name, model in (*run.churn.items(), (NETWORK, run.network)):
         quality = _churn_quality(score_churn(model, test), run.thresholds[name])
         for metric in ("accuracy", "precision", "recall", "f1", "roc_auc"):
             rows.append((name, "test", metric, float(quality[metric])))
+    errors = ("mae", "mse", "rmse", "r2")
     for name, model in run.value.items():
         quality = metrics.regression_metrics(score_value(model, test), "clv_90d", "predicted_clv_90d").first()
-        rows.extend((name, "test", m, float(quality[m])) for m in ("mae", "mse", "rmse", "r2"))
+        rows.extend((name, "test", m, float(quality[m])) for m in errors)
     waiting = run.timing_baseline.transform(test)
     clipped = F.least(F.greatest("prediction", F.lit(0.0)), F.lit(float(run.cfg.horizon_days)))
     quality = metrics.regression_metrics(waiting.withColumn("clipped", clipped), "next_days", "clipped").first()
-    rows.extend(("TimingRidge", "test", m, float(quality[m])) for m in ("mae", "mse", "rmse", "r2"))
-    for name, quality in run.validation.items():
-        rows.extend(
-            (name, "validation", m, float(v)) for m, v in quality.items() if m in ("roc_auc", "f1", "mae", "mse", "rmse", "r2")
-        )
+    rows.extend(("TimingRidge", "test", m, float(quality[m])) for m in errors)
+    timed = score_timing(run.timing, test.select("customer_id", "next_days"), sequences, run.cfg)
+    quality = metrics.regression_metrics(timed, "next_days", "predicted_next_days").first()
+    rows.extend(("TimingNetwork", "test", m, float(quality[m])) for m in errors)
+    quality = metrics.macro_f1(score_category(run.category, test), "next_category", "predicted_category").first()
+    rows.extend(("CategoryForest", "test", m, float(quality[m])) for m in ("accuracy", "macro_f1"))
+    flagged = anomaly.anomaly_scores(test, run.anomaly).agg(F.avg("anomaly_score").alias("score"), F.avg(F.col("anomaly").cast("int")).alias("rate")).first()
+    rows.extend([("Autoencoder", "test", "reconstruction_error", float(flagged.score)), ("Autoencoder", "test", "flag_rate", float(flagged.rate))])
+    for part, found in (("validation", run.validation), ("cross_validation", run.folds)):
+        for name, quality in found.items():
+            rows.extend((name, part, m, float(v)) for m, v in quality.items() if m in ("roc_auc", "f1", *errors, "neg_mae", "macro_f1"))
     return table.sparkSession.createDataFrame(rows, "model string, partition string, metric string, value double")
 
 
@@ -219,27 +244,75 @@ def held_out_diagnostics(run: FrozenRun, table: DataFrame, scored: DataFrame) ->
     }
 
 
+def learning_curves(run: FrozenRun) -> list[tuple[str, int, str, float]]:
+    """(model, iteration, loss, value) of every model that is trained step by step."""
+    rows = []
+    for name, model in ((NETWORK, run.network), ("TimingNetwork", run.timing), ("Autoencoder", run.anomaly.network)):
+        for step in model.history:
+            rows.extend((name, int(step["epoch"]), f"{part}_loss", float(step[f"{part}_loss"])) for part in ("train", "validation"))
+    for name, model in run.churn.items():
+        summary = getattr(model.stages[-1], "summary", None)
+        if summary is not None:
+            rows.extend((name, k, "objective", float(v)) for k, v in enumerate(summary.objectiveHistory))
+    return rows
+
+
+PIPELINES = ("churn", "value", "category", "timing_baseline")
+RUN_VERSION = 1
+
+
 def save_run(run: FrozenRun, folder: str) -> None:
-    """Champion pipelines as Spark ML artifacts and the numbers beside them as one JSON row."""
+    """Everything scoring needs under one folder; the manifest is written last, so a folder without one is no run."""
     spark = SparkSession.active()
-    for name, model in (
-        ("churn", run.churn[run.champion]),
-        ("value", run.value[run.value_champion]),
-        ("category", run.category),
-        ("timing", run.timing),
-    ):
+    models_by_name = {"churn": run.churn[run.champion], "value": run.value[run.value_champion], "category": run.category, "timing_baseline": run.timing_baseline}
+    for name, model in models_by_name.items():
         model.write().overwrite().save(f"{folder}/{name}")
+    run.timing.save(f"{folder}/timing")
+    run.network.save(f"{folder}/network")
+    run.anomaly.network.save(f"{folder}/anomaly")
+    clustering.save_segments(run.segments, f"{folder}/segments")
     facts = {
+        "version": RUN_VERSION,
         "champion": run.champion,
-        "threshold": run.thresholds[run.champion],
+        "thresholds": run.thresholds,
         "value_champion": run.value_champion,
         "tiers": run.tiers,
+        "anomaly_threshold": run.anomaly.threshold,
         "digest": run.digest,
         "validation": run.validation,
-        "segments": run.segments.quality,
+        "folds": run.folds,
     }
-    spark.createDataFrame([(json.dumps(facts),)], "metadata string").coalesce(1).write.mode("overwrite").text(
-        f"{folder}/metadata"
+    manifest = json.dumps(facts, sort_keys=True)
+    check = hashlib.sha256(manifest.encode()).hexdigest()
+    spark.createDataFrame([(manifest, check)], "manifest string, sha256 string").coalesce(1).write.mode("overwrite").json(f"{folder}/manifest")
+
+
+def load_run(folder: str, cfg: EngineConfig) -> FrozenRun:
+    """A saved run that scores like the one it was saved from. A damaged or unknown manifest is refused."""
+    found = SparkSession.active().read.schema("manifest string, sha256 string").json(f"{folder}/manifest").first()
+    if found is None or hashlib.sha256(found.manifest.encode()).hexdigest() != found.sha256:
+        raise ValueError("The manifest of this run is missing or was changed")
+    facts = json.loads(found.manifest)
+    if facts["version"] != RUN_VERSION:
+        raise ValueError(f"Runs of version {facts['version']} cannot be read")
+    fitted = {name: load_model(folder, name) for name in PIPELINES}
+    return FrozenRun(
+        cfg=cfg,
+        churn={facts["champion"]: fitted["churn"]},
+        thresholds=facts["thresholds"],
+        champion=facts["champion"],
+        value={facts["value_champion"]: fitted["value"]},
+        value_champion=facts["value_champion"],
+        timing=networks.NetworkModel.load(f"{folder}/timing"),
+        timing_baseline=fitted["timing_baseline"],
+        category=fitted["category"],
+        anomaly=anomaly.AnomalyNetwork(networks.NetworkModel.load(f"{folder}/anomaly"), facts["anomaly_threshold"]),
+        segments=clustering.load_segments(f"{folder}/segments"),
+        tiers=facts["tiers"],
+        digest=facts["digest"],
+        network=networks.NetworkModel.load(f"{folder}/network"),
+        validation=facts["validation"],
+        folds=facts["folds"],
     )
 
 
