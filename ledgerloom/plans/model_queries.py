@@ -480,6 +480,19 @@ def snapshot_refresh(spark, folder):
     return _sizes(target)
 
 
+@query(
+    "keyed_lookup",
+    f"""SELECT customer_id, '{CFG.cutoff}' AS as_of, CAST(cluster AS BIGINT) AS segment_id, round(churn_probability, 6) AS churn_probability,
+    round(predicted_clv_90d, 6) AS predicted_clv_90d FROM scored WHERE customer_id IN ('7', '11', '1001', 'nobody')""",
+)
+def keyed_lookup(spark, folder):
+    """Predictions of some customers from the files of a stored snapshot that can hold them."""
+    target = _store(spark, "keyed")
+    target.seed(_tables(spark, folder))
+    found = target.lookup("predictions", ["7", "11", "1001", "nobody"]).drop("payload")
+    return rounded(found.withColumn("segment_id", F.col("segment_id").cast("long")))
+
+
 @query(
     "batch_history_append",
     "SELECT CAST(b AS INTEGER) AS batch, count(*) AS rows FROM scored, (SELECT unnest([1, 2]) AS b) GROUP BY b",

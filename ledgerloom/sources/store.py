@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,16 +99,52 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small text at ``path`` in one step: readers see the old text or the new one."""
+    jvm = spark._jvm
+    draft, files = _file_system(spark, f"{path}.{uuid.uuid4().hex}")
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    out = files.create(draft, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    option = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = option
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), spark._jsc.hadoopConfiguration()).rename(draft, target, options)
+
+
 class Store:
-    """Snapshot tables and batch history as Parquet below one folder."""
+    """Snapshot tables and batch history as Parquet below one folder.
+
+    A snapshot is a folder of its own under ``versions``; the file ``current`` names the one in force and is replaced in
+    one step once all tables are written, so a reader sees one snapshot whole, and a refresh that fails midway changes
+    nothing. Customers and predictions are ordered by customer across their files, and a small index keeps the first and
+    last customer of each file, so a lookup opens only files that can hold what it asks for.
+    """
+
+    KEYED = ("customers", "predictions")
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder.rstrip("/")
 
+    def version(self) -> str | None:
+        """Name of the snapshot in force."""
+        pointer = f"{self.folder}/current"
+        return self.spark.read.text(pointer).first().value if path_exists(self.spark, pointer) else None
+
     def path(self, table: str) -> str:
-        """Folder of one table."""
-        return f"{self.folder}/{table}"
+        """Folder of one table, of the snapshot in force where it belongs to one."""
+        if table == "batch_scores":
+            return f"{self.folder}/{table}"
+        return f"{self.folder}/versions/{self.version() or 'none'}/{table}"
 
     def read(self, table: str) -> DataFrame:
         """Scan of one table."""
@@ -125,12 +162,29 @@ class Store:
         return True
 
     def refresh(self, tables: dict[str, DataFrame]) -> None:
-        """Replace the snapshot tables; the batch history stays.
-
-        Predictions go last, so a run that is cut short is repeated by the next ``seed``.
+        """Write a new snapshot and put it in force; the batch history and earlier snapshots stay."""
+        version = uuid.uuid4().hex
+        for name in SNAPSHOT_TABLES:
+            path, rows = f"{self.folder}/versions/{version}/{name}", tables[name]
+            if name in self.KEYED:
+                rows = rows.repartitionByRange("customer_id").sortWithinPartitions("customer_id")
+            rows.write.parquet(path)
+            if name in self.KEYED:
+                written = self.spark.read.parquet(path).select("customer_id", F.input_file_name().alias("file"))
+                written.groupBy("file").agg(F.min("customer_id").alias("first"), F.max("customer_id").alias("last")).write.parquet(f"{path}_index")
+        replace_text(self.spark, f"{self.folder}/current", version)
+
+    def lookup(self, table: str, ids: Sequence[str]) -> DataFrame:
+        """Rows of a keyed table for a list of customers, from the files that can hold them.
+
+        The list travels with the query; for a whole table of customers join ``read`` instead.
         """
-        for name in ("segments", "customers", "transactions", "predictions"):
-            tables[name].write.mode("overwrite").parquet(self.path(name))
+        wanted = sorted(set(ids))
+        index = self.spark.read.parquet(f"{self.path(table)}_index")
+        near = F.exists(F.array(*[F.lit(i) for i in wanted]), lambda i: (F.col("first") <= i) & (i <= F.col("last"))) if wanted else F.lit(False)
+        files = [r.file for r in index.where(near).select("file").collect()]
+        rows = self.spark.read.parquet(*files) if files else self.read(table).limit(0)
+        return rows.where(F.col("customer_id").isin(wanted)) if wanted else rows.limit(0)
 
     def append_batch(self, results: DataFrame) -> str:
         """Add one scored batch under a new id and the current time; returns the id."""
