@@ -1,15 +1,17 @@
 """Exact k-nearest-neighbour vote as a partitioned join.
 
-Train rows are assigned to the nearest of a few pivots. For a query, the triangle inequality gives an upper
-bound on its k-th distance (from the k smallest pivot distances of every cell) and a lower bound on the
-distance to any row of a cell (from the cell's radius). Only cells that can still hold a neighbour are
-visited. Crowded cells are cut into pieces of fixed size, queries into blocks, so every task compares a
-bounded block with a bounded piece and returns k rows per query. Pieces are merged by rank.
+Train rows are assigned to the nearest of some pivots, whose number grows with the square root of the rows. For a query,
+the triangle inequality gives an upper bound on its k-th distance (from the k smallest pivot distances of every cell) and a
+lower bound on the distance to any row of a cell (from the cell's radius). Only cells that can still hold a neighbour are
+visited. Crowded cells are cut into pieces of fixed size and the visits of a cell into blocks, so every task compares a
+bounded block with a bounded piece and returns k rows per query; a cell's rows are sent once for each block of its own
+visitors, not of all queries, and not at all where nobody visits. Pieces are merged by rank.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -17,67 +19,84 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-PIVOTS = 32
+from ledgerloom.session import materialize
+
+#: Fewest and most pivots.
+PIVOTS, MOST_PIVOTS = 16, 1024
 PIECE_ROWS = 4096
 BLOCK_ROWS = 4096
 SLICE = 256
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    out = np.empty((len(a), len(b)))
-    for start in range(0, len(a), SLICE):
-        part = a[start : start + SLICE]
-        out[start : start + SLICE] = np.sqrt(((part[:, None, :] - b[None]) ** 2).sum(axis=2))
-    return out
+    """Distances of all rows of two blocks, one input after the other, so no block is held once for each input."""
+    out = np.zeros((len(a), len(b)))
+    for column in range(a.shape[1] if a.ndim == 2 else 0):
+        out += (a[:, column, None] - b[None, :, column]) ** 2
+    return np.sqrt(out, out=out)
 
 
 def nearest_neighbours(
-    queries: DataFrame, train: DataFrame, columns: Sequence[str], label: str, k: int, seed: int = 42
+    queries: DataFrame, train: DataFrame, columns: Sequence[str], label: str, k: int, seed: int = 42, report: dict | None = None
 ) -> DataFrame:
-    """``customer_id``, ``neighbour``, ``distance`` and the neighbour's ``label``: k rows per query."""
+    """``customer_id``, ``neighbour``, ``distance`` and the neighbour's ``label``: k rows per query.
+
+    ``report`` is given the numbers of pivots, visits, and train rows sent.
+    """
     names = list(columns)
     points = train.select(F.col("customer_id").alias("neighbour"), F.col(label).cast("int").alias("label"), *names)
     order = F.md5(F.concat(F.lit(f"{seed}:pivot:"), F.col("neighbour")))
-    # A fixed number of pivots: small whatever the data.
-    pivots = points.orderBy(order).limit(PIVOTS).select(*names).toPandas().to_numpy(float)
+    wanted = min(MOST_PIVOTS, max(PIVOTS, isqrt(train.count())))
+    pivots = points.orderBy(order).limit(wanted).select(*names).toPandas().to_numpy(float)
 
     def assign(batches):
-        for part in batches:
-            gaps = _distances(part[names].to_numpy(float), pivots)
-            cell = gaps.argmin(axis=1)
-            yield part.assign(cell=cell, reach=gaps[np.arange(len(part)), cell])
-
-    cells = points.mapInPandas(assign, points.schema.simpleString()[7:-1] + ", cell int, reach double")
+        for whole in batches:
+            for start in range(0, len(whole), SLICE):
+                part = whole.iloc[start : start + SLICE]
+                gaps = _distances(part[names].to_numpy(float), pivots)
+                cell = gaps.argmin(axis=1)
+                yield part.assign(cell=cell, reach=gaps[np.arange(len(part)), cell])
+
+    cells = materialize(points.mapInPandas(assign, points.schema.simpleString()[7:-1] + ", cell int, reach double"), "cells")
     profile = cells.groupBy("cell").agg(F.count("*").alias("rows"), F.max("reach").alias("radius")).collect()
     nearest = F.row_number().over(W.partitionBy("cell").orderBy("reach"))
     inner = cells.select("cell", "reach").withColumn("r", nearest).filter(F.col("r") <= k).collect()
-    # At most PIVOTS x k numbers describe the cells.
+    # At most MOST_PIVOTS x k numbers describe the cells.
     radius = np.full(len(pivots), -1.0)
-    pieces = np.ones(len(pivots), dtype=int)
+    rows = np.zeros(len(pivots), dtype=int)
     for row in profile:
-        radius[row.cell] = row.radius
-        pieces[row.cell] = -(-row.rows // PIECE_ROWS)
-    inner_cell = np.array([row.cell for row in inner])
+        radius[row.cell], rows[row.cell] = row.radius, row.rows
+    inner_cell = np.array([row.cell for row in inner], dtype=int)
     inner_reach = np.array([row.reach for row in inner])
-    blocks = max(1, -(-queries.count() // BLOCK_ROWS))
 
     def visit(batches):
-        for part in batches:
-            gaps = _distances(part[names].to_numpy(float), pivots)
-            bound = np.sort(gaps[:, inner_cell] + inner_reach, axis=1)[:, min(k, len(inner_reach)) - 1]
-            lower = np.maximum(gaps - radius, 0.0)
-            row, cell = np.nonzero((lower <= bound[:, None] * (1 + 1e-9)) & (radius >= 0))
-            yield part.iloc[row].assign(cell=cell.astype(int))
+        for whole in batches:
+            for start in range(0, len(whole) if len(inner_reach) else 0, SLICE):
+                part = whole.iloc[start : start + SLICE]
+                gaps = _distances(part[names].to_numpy(float), pivots)
+                last = min(k, len(inner_reach)) - 1
+                bound = np.partition(gaps[:, inner_cell] + inner_reach, last, axis=1)[:, last]
+                lower = np.maximum(gaps - radius, 0.0)
+                row, cell = np.nonzero((lower <= bound[:, None] * (1 + 1e-9)) & (radius >= 0))
+                yield part.iloc[row].assign(cell=cell.astype(int))
 
     asked = queries.select("customer_id", *names)
-    visits = asked.mapInPandas(visit, asked.schema.simpleString()[7:-1] + ", cell int")
-    count = F.element_at(F.array(*[F.lit(int(p)) for p in pieces]), F.col("cell") + 1)
-    visits = visits.withColumn("piece", F.explode(F.sequence(F.lit(0), count - 1))).withColumn(
-        "block", F.pmod(F.xxhash64("customer_id"), F.lit(blocks)).cast("int")
-    )
-    placed = cells.withColumn("piece", F.pmod(F.xxhash64("neighbour"), count).cast("int")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    )
+    visits = materialize(asked.mapInPandas(visit, asked.schema.simpleString()[7:-1] + ", cell int"), "visits")
+    visitors = np.zeros(len(pivots), dtype=int)
+    for row in visits.groupBy("cell").count().collect():
+        visitors[row["cell"]] = row["count"]
+    pieces, blocks = -(-rows // PIECE_ROWS), -(-visitors // BLOCK_ROWS)
+    if report is not None:
+        report |= {"pivots": len(pivots), "visits": int(visitors.sum()), "sent": int((rows * blocks).sum())}
+
+    def of_cell(values: np.ndarray):
+        return F.element_at(F.array(*[F.lit(int(v)) for v in values], F.lit(0)), F.col("cell") + 1)
+
+    block = F.pmod(F.xxhash64("customer_id"), of_cell(np.maximum(blocks, 1))).cast("int")
+    visits = visits.withColumn("piece", F.explode(F.sequence(F.lit(0), of_cell(pieces) - 1))).withColumn("block", block)
+    piece = F.pmod(F.xxhash64("neighbour"), of_cell(np.maximum(pieces, 1))).cast("int")
+    visited = cells.filter(of_cell(blocks) > 0).withColumn("piece", piece)
+    placed = visited.withColumn("block", F.explode(F.sequence(F.lit(0), of_cell(blocks) - 1)))
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = []

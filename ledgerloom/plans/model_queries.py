@@ -172,35 +172,42 @@ def churn_mlp(spark, folder):
     return training.score_churn(model, _table(spark, folder)).select("customer_id", "partition", "churn", "churn_probability")
 
 
-_KNN = ("recency", "frequency", "monetary")
 _KNN_POINT = ", ".join(
-    f"({c} - (SELECT avg({c}) FROM train)) / (SELECT stddev_pop({c}) FROM train) AS z_{c}" for c in _KNN
+    f"({c} - (SELECT avg({c}) FROM train)) / (SELECT coalesce(nullif(stddev_pop({c}), 0), 1) FROM train) AS z_{c}" for c in NUMERIC_FEATURES
+)
+# Two countries differ in two indicators, a country unknown to train in one.
+_KNN_GAP = " + ".join(f"(a.z_{c} - b.z_{c}) ** 2" for c in NUMERIC_FEATURES) + (
+    " + CASE WHEN a.country = b.country THEN 0 WHEN a.country IN (SELECT country FROM train) THEN 2 ELSE 1 END"
 )
 
 
 @query(
     "churn_knn",
-    f"""SELECT customer_id, round(sum(churn / d) / sum(1 / d), 6) AS churn_probability FROM (
-    SELECT a.customer_id, b.churn, sqrt({' + '.join(f'(a.z_{c} - b.z_{c}) ** 2' for c in _KNN)}) AS d,
-           row_number() OVER (PARTITION BY a.customer_id
-               ORDER BY sqrt({' + '.join(f'(a.z_{c} - b.z_{c}) ** 2' for c in _KNN)}), b.customer_id) AS r
-    FROM (SELECT customer_id, {_KNN_POINT} FROM partitioned WHERE partition = 'test') a
-         CROSS JOIN (SELECT customer_id, churn, {_KNN_POINT} FROM train) b)
-    WHERE r <= {CFG.models.neighbours} GROUP BY customer_id""",
+    f"""SELECT customer_id, "partition", round(sum(churn / d) / sum(1 / d), 6) AS churn_probability FROM (
+    SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY d, neighbour) AS r FROM (
+    SELECT a.customer_id, a."partition", b.churn, b.customer_id AS neighbour, sqrt({_KNN_GAP}) AS d
+    FROM (SELECT customer_id, "partition", country, {_KNN_POINT} FROM partitioned WHERE "partition" <> 'train') a
+         CROSS JOIN (SELECT customer_id, churn, country, {_KNN_POINT} FROM train) b))
+    WHERE r <= {CFG.models.neighbours} GROUP BY "partition", customer_id""",
 )
 def churn_knn(spark, folder):
+    """Vote of the nearest train customers over all inputs, for the validation and test partitions."""
     table = _table(spark, folder)
-    scaling = segments.fit_scaling(table.filter(F.col("partition") == "train"), _KNN)
-    scaled = segments.standardize(table, scaling)
+    train = table.filter(F.col("partition") == "train")
+    scaled = segments.standardize(table, segments.fit_scaling(train, NUMERIC_FEATURES))
+    countries = sorted(r.country for r in train.select("country").distinct().collect())  # a fixed dimension
+    flags = {f"f_{i}": (F.col("country") == c).cast("double") for i, c in enumerate(countries)}
+    scaled = scaled.withColumns(flags)
     near = neighbours.nearest_neighbours(
-        scaled.filter(F.col("partition") == "test"),
+        scaled.filter(F.col("partition") != "train"),
         scaled.filter(F.col("partition") == "train"),
-        [f"z_{c}" for c in _KNN],
+        [*[f"z_{c}" for c in NUMERIC_FEATURES], *flags],
         "churn",
         CFG.models.neighbours,
         CFG.seed,
     )
-    return rounded(neighbours.neighbour_vote(near))
+    votes = neighbours.neighbour_vote(near).join(table.select("customer_id", "partition"), "customer_id")
+    return rounded(votes.select("customer_id", "partition", "churn_probability"))
 
 
 # ---- Value, timing, category -----------------------------------------------------------------------

@@ -143,3 +143,25 @@ def test_neighbours_match_brute_force_with_small_pieces(spark, monkeypatch):
         assert [n for _, n in got[f"q{i:03d}"]] == [n for _, n in want]
     votes = {r.customer_id: r.churn_probability for r in neighbours.neighbour_vote(found).collect()}
     assert votes["q000"] == pytest.approx(label[:7].mean())
+
+
+def test_rows_are_sent_to_the_cells_that_are_visited(spark, monkeypatch):
+    """Queries around one of two distant groups never meet the rows of the other; blocks follow a cell's own visitors."""
+    draw = np.random.default_rng(3)
+    near, far = draw.normal(size=(300, 4)), draw.normal(size=(300, 4)) + 1000
+    rows = [(f"t{k:04d}", k % 2, *map(float, x)) for k, x in enumerate(np.concatenate([near, far]))]
+    t = spark.createDataFrame(rows, "customer_id string, churn int, a double, b double, c double, d double")
+    asked = draw.normal(size=(120, 4))
+    q = spark.createDataFrame([(f"q{k:04d}", *map(float, x)) for k, x in enumerate(asked)], "customer_id string, a double, b double, c double, d double")
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(neighbours, "PIECE_ROWS", 40)
+    report = {}
+    found = neighbours.nearest_neighbours(q, t, ["a", "b", "c", "d"], "churn", 5, report=report).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: r["rank"]):
+        got.setdefault(r.customer_id, []).append(r.neighbour)
+    gaps = np.sqrt(((asked[:, None] - near[None]) ** 2).sum(2))
+    for k in range(len(asked)):
+        assert got[f"q{k:04d}"] == [f"t{i:04d}" for i in np.argsort(gaps[k], kind="stable")[:5]]
+    assert report["pivots"] == 24 and report["visits"] <= 120 * 24
+    assert report["sent"] <= 300 * 3  # at most three blocks of 50 visitors; nothing of the far group
