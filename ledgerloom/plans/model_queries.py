@@ -429,10 +429,8 @@ def global_importance(spark, folder):
 
 @query("local_surrogate")
 def local_surrogate(spark, folder):
-    """Surrogates of the lowest, the borderline and the highest risk."""
-    run, scored = _run(spark, folder), _snapshot(spark, folder)
-    chosen = serving.representatives(scored, F.lit(run.thresholds[run.champion])).select("customer_id").distinct()
-    people = scored.join(chosen, "customer_id", "left_semi")
+    """A linear model around every customer."""
+    people = _table(spark, folder).select("customer_id", *FEATURES)
     return explain.local_surrogates(people, _table(spark, folder, "train"), _scorer(spark, folder), CFG)
 
 

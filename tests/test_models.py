@@ -154,6 +154,35 @@ def test_surrogate_finds_a_linear_score(train, table):
     assert signs == {("recency", True), ("monetary", False)}
 
 
+def test_surrogate_is_the_weighted_ridge(spark):
+    """Sums of products give the same coefficients and fit as the rows themselves."""
+    rng = np.random.default_rng(12)
+    names = list("abcdefghijk")
+    z, weight = rng.normal(size=(400, len(names))), rng.random(400)
+    y = z @ rng.normal(size=len(names)) + rng.normal(size=400)
+    rows = np.column_stack([np.ones(400), z, y])
+    features, beta, fit = explain.surrogate((rows * weight[:, None]).T @ rows, 400, names)
+    mean, level = np.average(z, axis=0, weights=weight), np.average(y, weights=weight)
+    every = np.linalg.solve((z - mean).T @ (weight[:, None] * (z - mean)) + np.eye(len(names)), (z - mean).T @ (weight * (y - level)))
+    chosen = np.sort(np.argsort(-np.abs(every))[: explain.SURROGATE_FEATURES])
+    part = (z - mean)[:, chosen]
+    want = np.linalg.solve(part.T @ (weight[:, None] * part) + np.eye(len(chosen)), part.T @ (weight * (y - level)))
+    left = (weight * (y - level - part @ want) ** 2).sum() / (weight * (y - level) ** 2).sum()
+    assert features == [names[i] for i in chosen]
+    assert beta == pytest.approx(want) and fit == pytest.approx(1 - left)
+
+
+def test_surrogates_of_all_customers(train, table):
+    def score(df):
+        return df.withColumn("churn_probability", 0.02 * F.col("recency") + F.when(F.col("country") == "UK", 0.5).otherwise(0.0))
+
+    found = explain.local_surrogates(table, train, score, CFG).collect()
+    assert len(found) == ROWS * explain.SURROGATE_FEATURES
+    home = {r.customer_id: r.country for r in table.select("customer_id", "country").collect()}
+    stays = {r.customer_id: r.contribution for r in found if r.feature == "country"}
+    assert len(stays) == ROWS and all((v > 0) == (home[c] == "UK") for c, v in stays.items())
+
+
 def test_vif_matches_regression(spark, pdf):
     columns = ["recency", "frequency", "monetary", "mixed", "twin"]
     data = pdf[["recency", "frequency", "monetary"]].astype(float).assign(mixed=pdf.recency + pdf.tenure)
