@@ -15,7 +15,7 @@ def validate_columns(raw: DataFrame) -> DataFrame:
     """Every ledger column must be there; others are allowed."""
     missing = sorted(set(LEDGER_COLUMNS) - set(raw.columns))
     if missing:
-        raise ValueError("Missing required transaction columns: " + ", ".join(missing))
+        raise ValueError("The ledger lacks columns: " + ", ".join(missing))
     return raw
 
 
@@ -82,9 +82,9 @@ def check_ledger(raw: DataFrame, cfg: EngineConfig) -> DataFrame:
     if found.lines == 0:
         raise ValueError("The ledger is empty")
     if found.invalid_dates:
-        raise ValueError("Invalid transaction date")
+        raise ValueError("Some invoice dates cannot be read")
     if found.out_of_range:
-        raise ValueError("Unexpected date range")
+        raise ValueError("Some invoice dates lie outside the configured span")
     if found.missing / found.lines > cfg.max_missing_customer_rate:
         raise ValueError("Share of lines without a customer exceeds the configured threshold")
     if found.fractional:

@@ -108,7 +108,7 @@ def check_id_list(ids: DataFrame, scored: DataFrame, limit: int | None = None) -
     found = id_list_violations(ids, scored).first()
     check_size(found.rows, limit)
     if found.missing_ids or found.duplicate_ids:
-        raise ValueError("IDs must be present and unique")
+        raise ValueError("Every row of the list needs an id of its own")
     if found.unknown_ids:
-        raise KeyError("Customer not found in the scored snapshot")
+        raise KeyError("The snapshot has no such customer")
     return ids

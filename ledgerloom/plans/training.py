@@ -213,7 +213,7 @@ def evaluate_test(run: FrozenRun, table: DataFrame, sequences: DataFrame) -> Dat
 def held_out_diagnostics(run: FrozenRun, table: DataFrame, scored: DataFrame) -> dict[str, DataFrame]:
     """Errors of the saved test scores, after checking that they belong to this run and this split."""
     if fingerprint(table).first().digest != run.digest:
-        raise ValueError("Processed features differ from the trained snapshot; rebuild matching artifacts")
+        raise ValueError("This table is not the one the run was trained on; train again or pass the original")
     test = table.filter(F.col("partition") == "test")
     saved = scored.select(
         "customer_id",
@@ -225,7 +225,7 @@ def held_out_diagnostics(run: FrozenRun, table: DataFrame, scored: DataFrame) ->
     joined = metrics.check_one_to_one(test, saved, "customer_id")
     found = joined.agg(F.count("*").alias("n"), F.count_if(F.col("saved_partition") != "test").alias("w")).first()
     if found.n != test.count() or found.w:
-        raise ValueError("Saved scores do not match the frozen test partition")
+        raise ValueError("Not every test customer has exactly one stored score from the test partition")
     threshold = F.lit(run.thresholds[run.champion])
     fresh = score_churn(run.churn[run.champion], test)
     cells = [
@@ -233,7 +233,7 @@ def held_out_diagnostics(run: FrozenRun, table: DataFrame, scored: DataFrame) ->
         for f in (joined, fresh)
     ]
     if cells[0] != cells[1]:
-        raise ValueError("Saved churn predictions disagree with the training metrics")
+        raise ValueError("Stored and fresh churn scores give different confusion counts")
     value = metrics.check_errors(metrics.error_rows(joined, "clv_90d", "predicted_clv_90d"))
     timing = metrics.check_errors(metrics.error_rows(joined, "next_days", "predicted_next_days"))
     columns = ["customer_id", "actual", "predicted", "error", "absolute_error", "squared_error"]

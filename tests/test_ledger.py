@@ -110,8 +110,8 @@ def test_text_and_sign_rules(spark, cfg):
     [
         ("price", "double('inf')", "Nonfinite price"),
         ("quantity", "'bad'", "Nonfinite quantity"),
-        ("invoice_date", "'soon'", "Invalid transaction date"),
-        ("invoice_date", "'2020-01-01'", "Unexpected date range"),
+        ("invoice_date", "'soon'", "Some invoice dates cannot be read"),
+        ("invoice_date", "'2020-01-01'", "Some invoice dates lie outside the configured span"),
         ("customer_id", "cast(null as double)", "without a customer"),
     ],
 )
