@@ -34,8 +34,10 @@ from ledgerloom.llm.shared import stored
 from ledgerloom.llm.text import IS_BREAK, Words, mix, pieces, utf8, word_hashes, words
 
 #: At most this many labelled rows, chosen by a hash of the id, fit the model.
-LABELLED_ROWS = 20_000
+LABELLED_ROWS = 6_000
 BUCKETS = 1 << 20
+#: (row, feature) pairs of the sample looked at together while fitting.
+PAIRS = 1 << 20
 BEGINNINGS = (4, 5, 6)
 THRESHOLDS = 2
 #: Deviations from chance by which a feature is shrunk.
@@ -98,31 +100,31 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> O
     # At most ``rows`` pairs of numbers: small enough to be sent to every task.
     found = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
     sample = stored(found.orderBy("doc_id").select("text", "toxic").mapInArrow(_features, "toxic int, features array<int>"), "labelled")
-    got = sample.toArrow().combine_chunks()
-    toxic = got.column("toxic").to_numpy() > 0
-    if not len(toxic) or not toxic.any() or toxic.all():
+    toxic, row, col = [], [], []
+    for batch in sample.toArrow().to_batches():
+        lists, before = batch.column("features"), sum(map(len, toxic))
+        toxic.append(batch.column("toxic").to_numpy() > 0)
+        row.append(np.repeat(np.arange(before, before + batch.num_rows, dtype=np.int32), np.diff(lists.offsets.to_numpy())))
+        col.append(lists.flatten().to_numpy(zero_copy_only=False))
+    toxic = np.concatenate([*toxic, np.zeros(0, bool)])
+    if not toxic.any() or toxic.all():
         return None
-    lists = got.column("features").combine_chunks()
-    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-    col, row = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.repeat(np.arange(len(toxic)), np.diff(lists.offsets.to_numpy()))
-    return fit_features(row, col, toxic)
+    return fit_features(np.concatenate(row), np.concatenate(col), toxic)
 
 
 def fit_features(row: np.ndarray, col: np.ndarray, toxic: np.ndarray) -> OrdinalModel:
     """Fit on (row, bucket) pairs and the rows' classes; rows are dealt to the folds in turn, class by class."""
-    model = _fit_ordinal(row, col, toxic)
     fold = np.empty(len(toxic), np.int64)
     for side in (toxic, ~toxic):
         fold[side] = np.arange(side.sum()) % FOLDS
-    chance = np.zeros(len(toxic))
+    model, chance = _fit_ordinal(row, col, toxic, fold >= 0), np.zeros(len(toxic))
     for k in range(FOLDS):
         seen = fold != k
         if not toxic[seen].any() or toxic[seen].all():
             return model
-        number = np.cumsum(seen) - 1
-        train = seen[row]
-        part = _fit_ordinal(number[row[train]], col[train], toxic[seen])
-        chance[~seen] = part.probabilities(np.bincount(row, part.weights[col], len(toxic))[~seen])[:, 0]
+        part = _fit_ordinal(row, col, toxic, seen)
+        signal = sum(np.bincount(row[a : a + PAIRS], part.weights[col[a : a + PAIRS]], len(toxic)) for a in range(0, len(row), PAIRS))
+        chance[~seen] = part.probabilities(np.broadcast_to(signal, len(toxic))[~seen])[:, 0]
     return OrdinalModel(model.weights, model.above, model.thresholds, learned_cut(chance, toxic))
 
 
@@ -139,15 +141,22 @@ def _base_thresholds(share: float) -> np.ndarray:
     return np.log((1 - above) / above)
 
 
-def _fit_ordinal(row: np.ndarray, col: np.ndarray, toxic: np.ndarray, steps: int = STEPS) -> OrdinalModel:
-    n, share = len(toxic), toxic.mean()
-    count = np.bincount(col, minlength=BUCKETS)
-    deviation = (np.bincount(col, toxic[row].astype(float), BUCKETS) - count * share) / np.sqrt(np.maximum(count, 1) * share * (1 - share))
+def _fit_ordinal(row: np.ndarray, col: np.ndarray, toxic: np.ndarray, seen: np.ndarray, steps: int = STEPS) -> OrdinalModel:
+    """Fit on the rows that ``seen`` names; the pairs of the sample are gone through in pieces."""
+    share, places = toxic[seen].mean(), range(0, len(row), PAIRS)
+    count, of_toxic = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for a in places:
+        r, c = row[a : a + PAIRS], col[a : a + PAIRS]
+        count += np.bincount(c[seen[r]], minlength=BUCKETS)
+        of_toxic += np.bincount(c[(seen & toxic)[r]], minlength=BUCKETS)
+    deviation = (of_toxic - count * share) / np.sqrt(np.maximum(count, 1) * share * (1 - share))
     scale = np.sign(deviation) * np.maximum(np.abs(deviation) - SHRINK, 0)
-    use = scale[col] != 0
-    row, col = row[use], col[use]
+    uses = [np.flatnonzero((scale[col[a : a + PAIRS]] != 0) & seen[row[a : a + PAIRS]]) + a for a in places]
+    use = np.concatenate([*uses, np.zeros(0, np.int64)])
+    row, col, toxic = (np.cumsum(seen) - 1)[row[use]], col[use], toxic[seen]
+    n = len(toxic)
     place, col = np.unique(col, return_inverse=True)
-    value = scale[place][col]
+    value = scale[place][col].astype(np.float32)
     evidence = np.bincount(row, np.maximum(value, 0), n)
     grade = toxic.astype(int) + (toxic & (evidence > 0) & (evidence >= np.median(evidence[toxic])))
     w, theta = np.zeros(len(place)), _base_thresholds(share)
