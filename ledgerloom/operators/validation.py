@@ -11,8 +11,8 @@ from ledgerloom.functions.columns import finite
 SIGNED_FEATURES = ("historical_clv", "frequency_trend")
 SHARE_FEATURES = ("discount_proxy", "seasonal_concentration", *["affinity_" + c for c in CATEGORIES])
 MESSAGES = {
-    "missing_ids": "Customer IDs must be present and unique",
-    "duplicate_ids": "Customer IDs must be present and unique",
+    "missing_ids": "every row needs an id of its own",
+    "duplicate_ids": "every row needs an id of its own",
     "nonfinite_values": "All numerical features must be finite numbers",
     "negative_values": "Unexpected negative feature",
     "empty_countries": "Country cannot be empty",
