@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
@@ -89,15 +90,25 @@ def _fold_scores(spark, folder) -> list[tuple[str, str, int, float]]:
             ("neg_mae", models.ridge("next_days", CFG, "TimingRidge"), lambda s: models.negative_mae(s, "next_days")),
             ("macro_f1", models.category_family(CFG), models.macro_f1_score),
         ]
-        rows = []
-        for metric, family, score in jobs:
-            scores = models.cross_validate(family, train, CFG, score)
-            rows.extend((family.name, metric, fold, float(value)) for fold, value in enumerate(scores))
-        for fold, model in networks.fold_churn_networks(train, CFG).items():
-            rows.append((training.NETWORK, "roc_auc", fold, float(models.auc(model.transform(train.filter(F.col("fold") == fold))))))
-        for fold, model in networks.fold_timing_networks(series, train, CFG).items():
-            scored = training.score_timing(model, train.filter(F.col("fold") == fold).select("customer_id", "next_days"), series, CFG)
-            rows.append(("TimingNetwork", "neg_mae", fold, float(models.negative_mae(scored.withColumnRenamed("predicted_next_days", "prediction"), "next_days"))))
+
+        def plain(job) -> list[tuple]:
+            metric, family, score = job
+            return [(family.name, metric, fold, float(value)) for fold, value in enumerate(models.cross_validate(family, train, CFG, score))]
+
+        def churn_network() -> list[tuple]:
+            fitted = networks.fold_churn_networks(train, CFG).items()
+            return [(training.NETWORK, "roc_auc", fold, float(models.auc(model.transform(train.filter(F.col("fold") == fold))))) for fold, model in fitted]
+
+        def timing_network() -> list[tuple]:
+            found = []
+            for fold, model in networks.fold_timing_networks(series, train, CFG).items():
+                scored = training.score_timing(model, train.filter(F.col("fold") == fold).select("customer_id", "next_days"), series, CFG)
+                found.append(("TimingNetwork", "neg_mae", fold, float(models.negative_mae(scored.withColumnRenamed("predicted_next_days", "prediction"), "next_days"))))
+            return found
+
+        with ThreadPool(4) as pool:
+            parts = pool.map(lambda work: work(), [churn_network, timing_network, *[lambda job=job: plain(job) for job in jobs]], chunksize=1)
+        rows = [row for part in parts for row in part]
         best, log = _forest_search(spark, folder)
         means: dict[str, list] = {}
         for r in log.collect():  # one row a grid point and fold

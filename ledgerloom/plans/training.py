@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -110,21 +111,28 @@ def train_run(
     families, regressors = models.churn_families(cfg), models.value_families(cfg)
     if forest:
         families[forest.name] = forest
-    churn, thresholds, quality = {}, {}, {}
-    for name in (*churn_candidates, NETWORK):
-        if name == NETWORK:
-            churn[name] = networks.fit_churn_network(train, held, cfg, schedule)
-        else:
-            churn[name] = models.fit(families[name], train, held)
-        scored = score_churn(churn[name], held)
-        chosen = metrics.choose_threshold(scored, "churn", "churn_probability", cfg.recall_target)
-        thresholds[name] = chosen.first().threshold
-        quality[name] = _churn_quality(scored, thresholds[name])
-    value = {}
+    fits: dict[tuple[str, str], Callable[[], object]] = {("churn", NETWORK): lambda: networks.fit_churn_network(train, held, cfg, schedule)}
+    for name in churn_candidates:
+        fits["churn", name] = lambda name=name: models.fit(families[name], train, held)
     for name in value_candidates:
-        value[name] = models.fit(regressors[name], train)
-        scored = score_value(value[name], held)
-        quality[name] = metrics.regression_metrics(scored, "clv_90d", "predicted_clv_90d").first().asDict()
+        fits["value", name] = lambda name=name: models.fit(regressors[name], train)
+    fits["other", "timing"] = lambda: networks.fit_timing_network(sequences, train, held, cfg, schedule)
+    fits["other", "timing_baseline"] = lambda: models.fit(models.ridge("next_days", cfg), train)
+    fits["other", "category"] = lambda: models.fit(models.category_family(cfg), train)
+    fits["other", "anomaly"] = lambda: anomaly.fit_anomaly_network(train, held, cfg, schedule)
+    fits["other", "segments"] = lambda: segment_model or clustering.fit_segments(train, cfg)
+    # Fits are independent and made of many short jobs, so they run side by side.
+    with ThreadPool(models.PARALLEL_FITS) as pool:
+        fitted = dict(zip(fits, pool.map(lambda fit: fit(), fits.values(), chunksize=1)))
+    churn = {name: fitted["churn", name] for name in (*churn_candidates, NETWORK)}
+    value = {name: fitted["value", name] for name in value_candidates}
+    thresholds, quality = {}, {}
+    for name, model in churn.items():
+        scored = score_churn(model, held)
+        thresholds[name] = metrics.choose_threshold(scored, "churn", "churn_probability", cfg.recall_target).first().threshold
+        quality[name] = _churn_quality(scored, thresholds[name])
+    for name, model in value.items():
+        quality[name] = metrics.regression_metrics(score_value(model, held), "clv_90d", "predicted_clv_90d").first().asDict()
     network = churn.pop(NETWORK)
     return FrozenRun(
         cfg=cfg,
@@ -135,11 +143,11 @@ def train_run(
         champion=max(churn, key=lambda n: quality[n]["roc_auc"]),
         value=value,
         value_champion=max(value, key=lambda n: quality[n]["r2"]),
-        timing=networks.fit_timing_network(sequences, train, held, cfg, schedule),
-        timing_baseline=models.fit(models.ridge("next_days", cfg), train),
-        category=models.fit(models.category_family(cfg), train),
-        anomaly=anomaly.fit_anomaly_network(train, held, cfg, schedule),
-        segments=segment_model or clustering.fit_segments(train, cfg),
+        timing=fitted["other", "timing"],
+        timing_baseline=fitted["other", "timing_baseline"],
+        category=fitted["other", "category"],
+        anomaly=fitted["other", "anomaly"],
+        segments=fitted["other", "segments"],
         tiers=segments.fit_value_tiers(train),
         digest=fingerprint(table).first().digest,
         validation=quality,
