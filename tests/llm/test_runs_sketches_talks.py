@@ -211,8 +211,8 @@ def talks():
     texts = ["Yes.", "No!", "Why?\n", "half", "", " \t", "…", "Well. ", None, "Ünd."]
     roles = ["user", "assistant", "system", "user", "assistant", "tool", "", None, "Universe", "auto"]
     rows = []
-    for conv in range(250):
-        for k in range(draw.randrange(1, 5)):
+    for conv in range(200):
+        for k in range(draw.randrange(1, 4)):
             rows.append((conv, draw.choice([k, k, k, k + 3, None, 0]), draw.choice(roles[: draw.choice([3, 10])]), draw.choice(texts) if draw.random() < 0.5 else f"text {draw.randrange(9)}."))
     return rows + [(None, 1, "user", "hi."), (None, None, None, None)]
 
