@@ -1,18 +1,17 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment of equal blocks of words.
 
 Sources in code point order, null last, weigh 5, 2, 1, repeating. Together they get 150 per cent of all words; a
-source's target stops at twice its size and the excess is shared again by weight. The targets are cut into
-``BLOCKS`` blocks of equal size, and blocks go to sources by the highest quotients target / (2 k - 1). Within a
-source, documents are dealt by a seeded hash into shards of about ``SHARD_WORDS`` words, and the source's blocks go
-to its shards the same way. A shard lays its documents out in seeded order and takes its quota from the front, after
-as many whole rounds as the quota holds.
+source's target stops at twice its size and the excess is shared again by weight. Within a source, documents are
+dealt by a seeded hash into shards of about ``SHARD_WORDS`` words, and a shard is due its part of the target.
 
-A block grows with the corpus, so a source far smaller than a block can win none. With ``words`` each shard then gets
-what rounding to blocks leaves of its part of the target, in words, more or less: a source's words come to its target
-but for rounding to one word. The pipeline mixes so; the query keeps whole blocks, as its SQL does.
+Words are handed out in blocks. A shard competes in the class of the largest block size of ``BLOCK_WORDS`` of which its
+part holds ``LEAST_BLOCKS``, down to blocks of one word, so a source of a few words is dealt as closely as a hot one. In
+a class all blocks are equal, and those go to the highest quotients part / (2 k - 1). As many are given as have a
+quotient of at least half a block, which is the same as a divisor of one block: a shard can count its own without
+ranking all others, and its quota misses its part by half a block at most, 0.4 per cent or half a word. A shard lays
+its documents out in seeded order and takes its quota from the front, after as many whole rounds as the quota holds.
 
-The number of blocks is fixed, so ranking quotients is a small sort at any input size; a hot source has more shards,
-not a larger one.
+Nothing is sorted over all sources but their targets; a hot source has more shards, not a larger one.
 
 Defined results: null and blank texts have size 0 and nothing is taken; a null source is a source of its own; rows
 that repeat an id are mixed one by one; an empty table gives no rows.
@@ -25,26 +24,14 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.shared import stored
 
-BLOCKS = 65_536
 SHARD_WORDS = 200_000
-SHARD_BLOCKS = 64
+BLOCK_WORDS = (2048, 256, 16, 1)
+LEAST_BLOCKS = 128
 SHARE = 1.5
 MOST = 2
 SEED = "mix-1"
 
 
-def _seats(parties: DataFrame, group: list[str], votes: str, seats: str, limit: str) -> DataFrame:
-    """Parties with the seats that the highest quotients votes / (2 k - 1) of their group give them.
-
-    ``limit`` is the most seats that a party can be due; one more quotient of each party competes.
-    """
-    offered = parties.where(f"{votes} > 0").withColumn("k", F.explode(F.sequence(F.lit(1), F.col(limit).cast("int") + 1)))
-    offered = offered.withColumn("quotient", F.col(votes) / (2 * F.col("k") - 1))
-    rank = Window.partitionBy(*group).orderBy(F.desc("quotient"), "place", "k")
-    won = offered.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= F.col(seats))
-    return won.groupBy("source_key", *(c for c in ("shard",) if c in parties.columns)).agg(F.count("*").alias("won"))
-
-
 def targets(sizes: DataFrame) -> DataFrame:
     """(source_key, place, source_size, target) of each source; as many rows as there are sources."""
     every = Window.orderBy("no_source", "source_key")
@@ -61,16 +48,21 @@ def targets(sizes: DataFrame) -> DataFrame:
     return rows.select("source_key", "no_source", "place", "source_size", target.alias("target"))
 
 
-def _owed() -> Column:
-    """A shard's part of its source's target in whole words; the parts add up to the rounded target."""
-    upto = Window.partitionBy("source_key").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum("shard_size").over(upto)
-    part = lambda size: F.round(F.col("target") * size / F.col("source_size")).cast("long")
-    return F.when(F.col("source_size") > 0, part(end) - part(end - F.col("shard_size"))).otherwise(0)
+def _block(part: Column) -> Column:
+    """The block size of a shard that is due ``part`` words."""
+    size = F.lit(BLOCK_WORDS[-1])
+    for words in reversed(BLOCK_WORDS[:-1]):
+        size = F.when(part >= words * LEAST_BLOCKS, words).otherwise(size)
+    return size
 
 
-def mix(documents: DataFrame, words: bool = False) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) of every row."""
+def _won(part: Column, block: Column) -> Column:
+    """How many of the quotients part / 1, part / 3, part / 5, ... are half a block or more."""
+    return F.floor(part / block + 0.5).cast("long")
+
+
+def mix(documents: DataFrame, words: bool = True) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken) of every row; ``words`` is kept for callers that name it."""
     # Spark's patterns know no shorter way to say "not ASCII white space".
     count = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]++")), F.lit(0)).cast("long")
     sizes = documents.select(
@@ -78,23 +70,16 @@ def mix(documents: DataFrame, words: bool = False) -> DataFrame:
     )
     sizes = stored(sizes.withColumn("source_key", F.concat(F.when(F.col("no_source"), "1").otherwise("0"), "source_key")), "sizes")
     aims = stored(targets(sizes), "targets")
-    whole = Window.partitionBy()
-    aims = aims.withColumn("block", F.greatest(F.floor(F.sum("target").over(whole) / BLOCKS), F.lit(1)))
-    aims = aims.withColumn("seats", F.round(F.sum("target").over(whole) / F.col("block")).cast("long")).withColumn("most", F.ceil(F.col("target") / F.col("block")) + 1)
-    won = _seats(aims, [], "target", "seats", "most")  # one small sort: BLOCKS quotients and two for each source
-    shards = F.greatest(F.ceil(F.col("source_size") / F.greatest(F.lit(SHARD_WORDS), F.col("block") * SHARD_BLOCKS)), F.lit(1)).cast("long")
-    aims = aims.join(won, "source_key", "left").select(
-        "source_key", "source_size", "target", "block", F.coalesce("won", F.lit(0)).alias("source_won"), shards.alias("shards")
-    )
+    shards = F.greatest(F.ceil(F.col("source_size") / SHARD_WORDS), F.lit(1)).cast("long")
+    aims = aims.select("source_key", "source_size", "target", shards.alias("shards"))
     name = F.concat_ws(":", F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string"))
     rows = sizes.join(aims, "source_key").withColumn("key", F.md5(name))
     rows = rows.withColumn("shard", F.pmod(F.conv(F.substring("key", 1, 8), 16, 10).cast("long"), F.col("shards")))
-    totals = rows.groupBy("source_key", "shard").agg(F.sum("size").alias("shard_size"), *(F.first(c).alias(c) for c in ("source_size", "source_won", "block", "target")))
-    totals = totals.withColumn("place", F.col("shard")).withColumn("most", F.ceil(F.col("source_won") * F.col("shard_size") / F.col("source_size")) + 1)
-    quotas = _seats(totals, ["source_key"], "shard_size", "source_won", "most").withColumnRenamed("won", "shard_won")
-    dealt = F.coalesce("shard_won", F.lit(0)) * F.col("block")
-    rest = _owed() - dealt if words else F.lit(0)
-    quotas = totals.join(quotas, ["source_key", "shard"], "left").select("source_key", "shard", "shard_size", F.least(dealt + rest, F.col("shard_size") * MOST).alias("quota"))
+    quotas = rows.groupBy("source_key", "shard").agg(F.sum("size").alias("shard_size"), *(F.first(c).alias(c) for c in ("source_size", "target")))
+    quotas = quotas.withColumn("part", F.when(F.col("source_size") > 0, F.col("target") * F.col("shard_size") / F.col("source_size")).otherwise(0.0))
+    quotas = quotas.withColumn("block", _block(F.col("part")))
+    quota = F.least(_won(F.col("part"), F.col("block")) * F.col("block"), F.col("shard_size") * MOST)
+    quotas = quotas.select("source_key", "shard", "shard_size", quota.alias("quota"))
     order = Window.partitionBy("source_key", "shard").orderBy("key", "doc_id")
     rows = rows.join(quotas, ["source_key", "shard"]).withColumn("before", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     rounds = F.when(F.col("shard_size") > 0, F.floor(F.col("quota") / F.col("shard_size"))).otherwise(0)

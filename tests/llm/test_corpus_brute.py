@@ -347,3 +347,15 @@ def test_mixture_gives_tiny_sources_their_target(spark):
         target[r.source] = r.target
         assert 0 <= r.taken <= 2 * r.size
     assert len(target) == 61 and all(target[k] > 0 and abs(taken[k] - target[k]) <= 1 for k in target)
+
+
+def test_query_gives_tiny_sources_their_target(spark):
+    rows = [(k, "w " * 700, "hot") for k in range(900)] + [(2000 + k, "w " * (1 + k % 9), f"tiny{k:02}") for k in range(60)] + [(3000, None, "blank")]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        assert 0 <= r.taken <= 2 * r.size
+    assert len(target) == 62 and taken["blank"] == 0
+    assert all(abs(taken[k] - target[k]) <= max(1, target[k] / 128) for k in target)
