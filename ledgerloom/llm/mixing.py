@@ -11,6 +11,9 @@ quotient of at least half a block, which is the same as a divisor of one block:
 ranking all others, and its quota misses its part by half a block at most, 0.4 per cent or half a word. A shard lays
 its documents out in seeded order and takes its quota from the front, after as many whole rounds as the quota holds.
 
+With ``words`` each shard also gets what rounding to blocks leaves of its part, in words, more or less: a source's
+words come to its target but for one word. The pipeline mixes so; the query gives whole blocks, as its SQL does.
+
 Nothing is sorted over all sources but their targets; a hot source has more shards, not a larger one.
 
 Defined results: null and blank texts have size 0 and nothing is taken; a null source is a source of its own; rows
@@ -61,8 +64,16 @@ def _won(part: Column, block: Column) -> Column:
     return F.floor(part / block + 0.5).cast("long")
 
 
-def mix(documents: DataFrame, words: bool = True) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) of every row; ``words`` is kept for callers that name it."""
+def _owed() -> Column:
+    """A shard's part of its source's target in whole words; the parts add up to the rounded target."""
+    upto = Window.partitionBy("source_key").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum("shard_size").over(upto)
+    part = lambda size: F.round(F.col("target") * size / F.col("source_size")).cast("long")
+    return F.when(F.col("source_size") > 0, part(end) - part(end - F.col("shard_size"))).otherwise(0)
+
+
+def mix(documents: DataFrame, words: bool = False) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken) of every row."""
     # Spark's patterns know no shorter way to say "not ASCII white space".
     count = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]++")), F.lit(0)).cast("long")
     sizes = documents.select(
@@ -78,7 +89,9 @@ def mix(documents: DataFrame, words: bool = True) -> DataFrame:
     quotas = rows.groupBy("source_key", "shard").agg(F.sum("size").alias("shard_size"), *(F.first(c).alias(c) for c in ("source_size", "target")))
     quotas = quotas.withColumn("part", F.when(F.col("source_size") > 0, F.col("target") * F.col("shard_size") / F.col("source_size")).otherwise(0.0))
     quotas = quotas.withColumn("block", _block(F.col("part")))
-    quota = F.least(_won(F.col("part"), F.col("block")) * F.col("block"), F.col("shard_size") * MOST)
+    dealt = _won(F.col("part"), F.col("block")) * F.col("block")
+    rest = _owed() - dealt if words else F.lit(0)
+    quota = F.least(dealt + rest, F.col("shard_size") * MOST)
     quotas = quotas.select("source_key", "shard", "shard_size", quota.alias("quota"))
     order = Window.partitionBy("source_key", "shard").orderBy("key", "doc_id")
     rows = rows.join(quotas, ["source_key", "shard"]).withColumn("before", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -12,6 +13,7 @@ from math import log10
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
 
 import corpus_pipeline
 from ledgerloom.llm import attention, automaton, decontamination, disclosure, flatgraph, language, minhash, mixing, passages, toxicity
@@ -161,6 +163,75 @@ def test_disclosing_terms_follow_the_counts(frame):
     assert str(secret.index("matters")) + ":" not in got[1] and not got[5]
 
 
+def disclosed(rows: list[tuple]) -> dict[tuple, list[tuple]]:
+    """Spans of every distinct (id, text) by the definition, pair by pair."""
+    docs = sorted(set(rows))
+    base = {d: [(int(a), kind, int(b)) for kind, a, b in (x.split(":") for x in base_spans(d[1]).split(",") if x)] for d in docs}
+    terms = {d: [(m.start(), m[0].lower(), m.end()) for m in regex.finditer(r"\p{L}[\p{L}\p{M}]*", d[1])] for d in docs}
+    held = {d: {(kind, d[1][a:b].lower()) for a, kind, b in base[d]} for d in docs}
+    said = {d: {t for _, t, _ in terms[d]} for d in docs}
+    n, n_e, n_t = len(docs), Counter(e for d in docs for e in held[d]), Counter(t for d in docs for t in said[d])
+    n_te = Counter((e, t) for d in docs for e in held[d] for t in said[d])
+    share = {(e, t): math.log2(n * k / (n_t[t] * n_e[e])) / math.log2(n / n_e[e]) for (e, t), k in n_te.items() if n_e[e] < n}
+    assert not any(abs(x - cut) < 1e-9 for x in share.values() for cut in (0.6, 0.9))
+    out = {}
+    for d in docs:
+        spans = list(base[d])
+        for a, t, b in terms[d]:
+            most = max((share.get((e, t), 0) for e in held[d]), default=0)
+            if most >= 0.6 and not any(x < b and a < y for x, _, y in base[d]):
+                spans.append((a, "removed" if most >= 0.9 else "general", b))
+        out[d] = sorted(spans, key=lambda x: (x[0], disclosure.KINDS.index(x[1])))
+    return out
+
+
+def test_disclosure_matches_the_definition(spark):
+    draw = random.Random(15)
+    shared = ["a@b.org", "c@d.org", "1.2.3.4", "+1 234 555 0100 99", "éa@b.org"]
+    bound = {"a@b.org": ["Kim", "zeno"], "c@d.org": ["Ünal", "李"], "1.2.3.4": ["router", "Kim"]}
+    rows = []
+    for k in range(67):
+        words = [draw.choice(["the", "of", "x", "y"] + VOCABULARY[:25]) for _ in range(draw.randrange(2, 14))]
+        for entity in draw.sample(shared, draw.choice([0, 0, 1, 1, 2])):
+            words.insert(draw.randrange(len(words)), entity)
+            words += [w for w in bound.get(entity, []) if draw.random() < 0.7]
+        if k % 9 == 0:
+            words.insert(3, f"own{k}@mail.net")
+            words += ["name" + "abcdefghij"[k % 10] + "q" * (k // 9), "Kim", "trio" + "abc"[k // 27]]
+        rows.append((k, " ".join(words)))
+    # A document repeated by a third of all rows, and one id with two texts.
+    rows += [rows[9]] * 40 + [rows[18]] * 3 + [(5, "again a@b.org zeno"), (70, "list " + ", ".join(f"m{k}@list.net" for k in range(30)))]
+    want = disclosed(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = disclosure.personal_data(docs).collect()
+    text = Counter()
+    for (k, body) in rows:
+        text[(k, ",".join(f"{kind}:{a}:{b}" for a, kind, b in want[(k, body)]))] += 1
+    assert Counter((r.doc_id, r.spans) for r in got) == text
+    assert any(":" in r.spans and "general" in r.spans for r in got) and any("removed" in r.spans for r in got)
+    clean = Counter()
+    for k, body in rows:
+        at, out = 0, ""
+        for a, kind, b in want[(k, body)]:
+            if a >= at:
+                out += body[at:a] + ("" if kind == "removed" else f"<{kind}>")
+            at = max(at, b)
+        clean[(k, out + body[at:])] += 1
+    assert Counter((r.doc_id, r.text) for r in disclosure.sanitise(docs).collect()) == clean
+
+
+def test_disclosure_of_long_texts(spark):
+    n = 100_000
+    texts = ["\n".join(f"é{k} u{k % 7000}@x{k % 11}.org" for k in range(n // 5)), "\n".join(str(k % 90 + 10) for k in range(n)), "𝒜 " * 5000 + "a@b.org 𝒜bc" + " 10.0.0.1" * 3000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in disclosure.personal_data(docs).collect()}
+    assert got[0].n_email == n // 5 and got[1].spans == "" and got[2].n_ip == 3000
+    for k, text in enumerate(texts):
+        assert got[k].base_sha256 == hashlib.sha256(base_spans(text).encode()).hexdigest()
+    clean = {r.doc_id: r.text for r in disclosure.sanitise(docs).collect()}
+    assert "@" not in clean[0] and clean[0].count("<email>") == n // 5 and clean[1] == texts[1] and clean[2].count("<ip>") == 3000
+
+
 def test_automaton_matches_plain_patterns():
     rules = [
         (re.compile(r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.A), lambda m: len(m[2]) >= 6),
