@@ -205,13 +205,18 @@ def term_spans(places: DataFrame, kinds: DataFrame, holders: DataFrame) -> DataF
     return free.groupBy("document_").agg(F.array_sort(F.collect_list(F.struct("s", "kind", "e"))).alias("extra_"))
 
 
-def disclosed_spans(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with their base spans, and (document_, extra_): the spans of terms to generalise or remove."""
+def disclosed_spans(documents: DataFrame, texts: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows with their base spans, and (document_, extra_): the spans of terms to generalise or remove.
+
+    ``text_`` is stored for texts with an entity only; ``texts`` keeps the column ``text`` of all rows.
+    """
     key = F.unhex(F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text"))))
-    rows = stored(entity_spans(documents.withColumn("document_", key)), "found")
+    documents = documents.withColumn("document_", key)
+    rows = entity_spans(documents).withColumn("text_", F.when(F.size("base_") > 0, F.col("text_")))
+    rows = stored(rows if texts else rows.drop("text"), "found")
     holders = rows.where(F.size("base_") > 0).groupBy("document_").agg(F.first("text_").alias("text_"), F.first("base_").alias("base_"))
     holders = stored(holders, "holders")
-    total, counts = document_counts(rows.select("document_", "text_"))
+    total, counts = document_counts(documents.select("document_", F.coalesce("text", F.lit("")).alias("text_")))
     counts, classes = stored(counts, "counts"), stored(entity_classes(holders), "classes")
     places = stored(term_places(holders, classes, total, counts), "places")
     return rows, term_spans(places, disclosing(places, classes), holders)
@@ -245,7 +250,7 @@ def sanitise(documents: DataFrame) -> DataFrame:
     """``documents`` with entities and disclosing terms replaced by their kind (removed terms by nothing)."""
     kept = [c for c in documents.columns if c != "text"]
     packed = documents.select("doc_id", "text", F.struct(*kept).alias("row_"))
-    rows, extra = disclosed_spans(packed)
+    rows, extra = disclosed_spans(packed, texts=True)
     fields = [F.col("row_").getField(c).alias(c) if c != "text" else F.col("text") for c in documents.columns]
     clean = rows.where(F.size("base_") == 0).select(*fields)
     rows = rows.where(F.size("base_") > 0).join(extra, "document_", "left")
