@@ -1,23 +1,25 @@
-"""Mixing sources to target weights by Sainte-Laguë apportionment of equal blocks of words.
+"""Mixing sources to target weights by Sainte-Laguë apportionment, word by word.
 
 Sources in code point order, null last, weigh 5, 2, 1, repeating. Together they get 150 per cent of all words; a
 source's target stops at twice its size and the excess is shared again by weight. Within a source, documents are
-dealt by a seeded hash into shards of about ``SHARD_WORDS`` words, and a shard is due its part of the target.
+dealt by a seeded hash into shards of about ``SHARD_WORDS`` words.
 
-Words are handed out in blocks. A shard competes in the class of the largest block size of ``BLOCK_WORDS`` of which its
-part holds ``LEAST_BLOCKS``, down to blocks of one word, so a source of a few words is dealt as closely as a hot one. In
-a class all blocks are equal, and those go to the highest quotients part / (2 k - 1). As many are given as have a
-quotient of at least half a block, which is the same as a divisor of one block: a shard can count its own without
-ranking all others, and its quota misses its part by half a block at most, 0.4 per cent or half a word. A shard lays
-its documents out in seeded order and takes its quota from the front, after as many whole rounds as the quota holds.
+The number of words to hand out is fixed. All sources compete for them: a source offers the quotients
+target / (2 k - 1), one for each word that it may hold, and the highest quotients win. Its shards compete for the words
+that it has won in the same way, by their sizes. Nothing may get more than twice its size, and every word is given.
 
-With ``words`` each shard also gets what rounding to blocks leaves of its part, in words, more or less: a source's
-words come to its target but for one word. The pipeline mixes so; the query gives whole blocks, as its SQL does.
+Only the quotients near the cut are ranked. From the number of parties n, the seats and the sum of the votes follow a
+divisor at which no party has too much, so what it gives is sure, and one at which there is enough for all seats; what
+lies between is about two quotients a party, whatever the number of words.
 
-Nothing is sorted over all sources but their targets; a hot source has more shards, not a larger one.
+A shard lays its documents out in seeded order and takes its quota from the front, after as many whole rounds as the
+quota holds. A hot source has more shards, not a larger one.
+
+With ``words`` each shard gets its part of the target rounded in a running sum, in place of what it has won.
 
 Defined results: null and blank texts have size 0 and nothing is taken; a null source is a source of its own; rows
-that repeat an id are mixed one by one; an empty table gives no rows.
+that repeat an id are mixed one by one; equal quotients go to the source that comes first, then to the lower shard; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,15 +30,15 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.shared import stored
 
 SHARD_WORDS = 200_000
-BLOCK_WORDS = (2048, 256, 16, 1)
-LEAST_BLOCKS = 128
+#: Steps by which the range of ranked quotients grows where the limits of the parties leave seats over.
+REACH = (1, 64, 4096)
 SHARE = 1.5
 MOST = 2
 SEED = "mix-1"
 
 
 def targets(sizes: DataFrame) -> DataFrame:
-    """(source_key, place, source_size, target) of each source; as many rows as there are sources."""
+    """(source_key, place, source_size, target) of each source and the words of the whole mix; as many rows as there are sources."""
     every = Window.orderBy("no_source", "source_key")
     rows = sizes.groupBy("source_key", "no_source").agg(F.sum("size").alias("source_size")).withColumn("place", F.row_number().over(every))
     rows = rows.withColumn("weight", F.element_at(F.array(F.lit(5), F.lit(2), F.lit(1)), (F.pmod(F.col("place") - 1, F.lit(3)) + 1).cast("int")))
@@ -48,20 +50,32 @@ def targets(sizes: DataFrame) -> DataFrame:
     # The level grows while sources are tight and falls after the first free one: the largest is the one that holds.
     rows = rows.withColumn("level", F.max("level").over(Window.partitionBy()))
     target = F.least(F.col("cap").cast("double"), F.col("level") * F.col("weight"))
-    return rows.select("source_key", "no_source", "place", "source_size", target.alias("target"))
+    return rows.select("source_key", "no_source", "place", "source_size", target.alias("target"), "total", F.floor(F.col("total") + 0.5).alias("seats"))
+
 
+def _apportioned(parties: DataFrame, group: list[str], order: str, votes: str, total: str, most: str, seats: str, won: str) -> DataFrame:
+    """``parties`` with the seats ``won`` by the highest quotients votes / (2 k - 1), k up to ``most``, of their group.
 
-def _block(part: Column) -> Column:
-    """The block size of a shard that is due ``part`` words."""
-    size = F.lit(BLOCK_WORDS[-1])
-    for words in reversed(BLOCK_WORDS[:-1]):
-        size = F.when(part >= words * LEAST_BLOCKS, words).otherwise(size)
-    return size
+    ``total`` is the sum of the votes of a group, and its parties may hold all its ``seats`` together.
+    """
+    whole = Window.partitionBy(*group)
+    number = F.count("*").over(whole)
 
+    def given(weight: Column, more: int = 0) -> Column:
+        """The seats of a party at the divisor total / weight."""
+        plain = F.floor(F.col(votes) * weight / F.col(total) + 0.5).cast("long") + more
+        return F.when(F.col(total) > 0, F.least(plain, F.col(most))).otherwise(0)
 
-def _won(part: Column, block: Column) -> Column:
-    """How many of the quotients part / 1, part / 3, part / 5, ... are half a block or more."""
-    return F.floor(part / block + 0.5).cast("long")
+    rows = parties.withColumn("number", number).withColumn("sure", given(F.greatest(F.col(seats) - F.col("number") / 2 - 1, F.lit(0))))
+    upto = [given(F.col(seats) + F.col("number") * step, 1) for step in REACH]
+    enough = F.coalesce(*(F.when(F.sum(n).over(whole) >= F.col(seats), F.lit(step)) for step, n in zip(REACH, upto)))
+    rows = rows.withColumn("enough", enough).withColumn("open", F.col(seats) - F.sum("sure").over(whole))
+    rows = rows.withColumn("reach", F.when(F.col("enough").isNull(), F.col(most)).otherwise(given(F.col(seats) + F.col("number") * F.col("enough"), 1)))
+    offered = rows.where("reach > sure").select(*group, order, "open", votes, F.explode(F.sequence(F.col("sure") + 1, F.col("reach"))).alias("k"))
+    rank = Window.partitionBy(*group).orderBy(F.desc("quotient"), order, "k")
+    offered = offered.withColumn("quotient", F.col(votes).cast("double") / (2 * F.col("k") - 1)).withColumn("rank", F.row_number().over(rank))
+    more = offered.where("rank <= open").groupBy(*group, order).agg(F.count("*").alias("more"))
+    return rows.join(more, [*group, order], "left").select(*parties.columns, (F.col("sure") + F.coalesce("more", F.lit(0))).alias(won))
 
 
 def _owed() -> Column:
@@ -80,18 +94,18 @@ def mix(documents: DataFrame, words: bool = False) -> DataFrame:
         "doc_id", "source", count.alias("size"), F.coalesce("source", F.lit("")).alias("source_key"), F.col("source").isNull().alias("no_source")
     )
     sizes = stored(sizes.withColumn("source_key", F.concat(F.when(F.col("no_source"), "1").otherwise("0"), "source_key")), "sizes")
-    aims = stored(targets(sizes), "targets")
+    aims = targets(sizes).withColumn("most", F.col("source_size") * MOST)
+    aims = stored(_apportioned(aims, [], "place", "target", "total", "most", "seats", "source_won"), "targets")
     shards = F.greatest(F.ceil(F.col("source_size") / SHARD_WORDS), F.lit(1)).cast("long")
-    aims = aims.select("source_key", "source_size", "target", shards.alias("shards"))
+    aims = aims.select("source_key", "source_size", "target", "source_won", shards.alias("shards"))
     name = F.concat_ws(":", F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string"))
     rows = sizes.join(aims, "source_key").withColumn("key", F.md5(name))
     rows = rows.withColumn("shard", F.pmod(F.conv(F.substring("key", 1, 8), 16, 10).cast("long"), F.col("shards")))
-    quotas = rows.groupBy("source_key", "shard").agg(F.sum("size").alias("shard_size"), *(F.first(c).alias(c) for c in ("source_size", "target")))
-    quotas = quotas.withColumn("part", F.when(F.col("source_size") > 0, F.col("target") * F.col("shard_size") / F.col("source_size")).otherwise(0.0))
-    quotas = quotas.withColumn("block", _block(F.col("part")))
-    dealt = _won(F.col("part"), F.col("block")) * F.col("block")
-    rest = _owed() - dealt if words else F.lit(0)
-    quota = F.least(dealt + rest, F.col("shard_size") * MOST)
+    kept = ("source_size", "target", "source_won")
+    quotas = rows.groupBy("source_key", "shard").agg(F.sum("size").alias("shard_size"), *(F.first(c).alias(c) for c in kept))
+    quotas = quotas.withColumn("most", F.col("shard_size") * MOST)
+    quotas = _apportioned(quotas, ["source_key"], "shard", "shard_size", "source_size", "most", "source_won", "shard_won")
+    quota = F.least(_owed(), F.col("most")) if words else F.col("shard_won")
     quotas = quotas.select("source_key", "shard", "shard_size", quota.alias("quota"))
     order = Window.partitionBy("source_key", "shard").orderBy("key", "doc_id")
     rows = rows.join(quotas, ["source_key", "shard"]).withColumn("before", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))

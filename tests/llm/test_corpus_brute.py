@@ -430,3 +430,49 @@ def test_query_gives_tiny_sources_their_target(spark):
         assert 0 <= r.taken <= 2 * r.size
     assert len(target) == 62 and taken["blank"] == 0
     assert all(abs(taken[k] - target[k]) <= max(1, target[k] / 128) for k in target)
+
+
+def sainte_lague(votes: list[float], most: list[int], seats: int) -> list[int]:
+    """Seats one by one, each to the highest quotient votes / (2 k - 1) of a party that is below its limit."""
+    won = [0] * len(votes)
+    for _ in range(seats):
+        best = max((k for k in range(len(votes)) if won[k] < most[k]), key=lambda k: (votes[k] / (2 * won[k] + 1), -k))
+        won[best] += 1
+    return won
+
+
+def scattered(spark, seed: int):
+    draw = random.Random(20 + seed)
+    names = [f"s{k:02}" for k in range(draw.randrange(3, 25))]
+    rows = [(k, "w " * draw.choice([0, 1, 2, 9, 40]), draw.choice(names[: draw.randrange(1, len(names) + 1)])) for k in range(150)]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+
+def assert_apportioned(got: list) -> None:
+    size = {r.source: r.source_size for r in got}
+    target = {r.source: r.target for r in got}
+    order, words = sorted(size), int(1.5 * sum(size.values()) + 0.5)
+    won = sainte_lague([target[s] for s in order], [2 * size[s] for s in order], words)
+    assert sum(won) == words
+    for source, part in zip(order, won):
+        mine = [r for r in got if r.source == source]
+        assert sum(r.taken for r in mine) == part
+        shard = {r.doc_id: int(hashlib.md5(f"{mixing.SEED}:{r.doc_id}:{r.size}".encode()).hexdigest()[:8], 16) % max(1, -(-size[source] // mixing.SHARD_WORDS)) for r in mine}
+        shards = sorted(set(shard.values()))
+        sizes = [sum(r.size for r in mine if shard[r.doc_id] == k) for k in shards]
+        assert [sum(r.taken for r in mine if shard[r.doc_id] == k) for k in shards] == sainte_lague(sizes, [2 * n for n in sizes], part)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_mix_hands_out_every_word_by_the_highest_quotients(spark, monkeypatch, seed):
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 60)
+    assert_apportioned(mixing.mix(scattered(spark, seed)).collect())
+
+
+def test_limits_leave_no_seat_over(spark):
+    cases = [([999.9, 0.6, 0.6, 0.6, 0.6], [1000, 9, 9, 9, 9], 1002), ([5.0, 5.0], [10, 10], 9), ([0.4] * 30 + [88.0], [2] * 30 + [88], 100), ([0.0, 0.0], [0, 0], 0)]
+    schema = "place int, votes double, total double, most long, seats long"
+    for votes, most, seats in cases:
+        parties = spark.createDataFrame([(k, v, sum(votes), m, seats) for k, (v, m) in enumerate(zip(votes, most))], schema)
+        got = mixing._apportioned(parties, [], "place", "votes", "total", "most", "seats", "won").orderBy("place").collect()
+        assert [r.won for r in got] == sainte_lague(votes, most, seats)
