@@ -15,8 +15,6 @@ lies between is about two quotients a party, whatever the number of words.
 A shard lays its documents out in seeded order and takes its quota from the front, after as many whole rounds as the
 quota holds. A hot source has more shards, not a larger one.
 
-With ``words`` each shard gets its part of the target rounded in a running sum, in place of what it has won.
-
 Defined results: null and blank texts have size 0 and nothing is taken; a null source is a source of its own; rows
 that repeat an id are mixed one by one; equal quotients go to the source that comes first, then to the lower shard; an
 empty table gives no rows.
@@ -78,15 +76,7 @@ def _apportioned(parties: DataFrame, group: list[str], order: str, votes: str, t
     return rows.join(more, [*group, order], "left").select(*parties.columns, (F.col("sure") + F.coalesce("more", F.lit(0))).alias(won))
 
 
-def _owed() -> Column:
-    """A shard's part of its source's target in whole words; the parts add up to the rounded target."""
-    upto = Window.partitionBy("source_key").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum("shard_size").over(upto)
-    part = lambda size: F.round(F.col("target") * size / F.col("source_size")).cast("long")
-    return F.when(F.col("source_size") > 0, part(end) - part(end - F.col("shard_size"))).otherwise(0)
-
-
-def mix(documents: DataFrame, words: bool = False) -> DataFrame:
+def mix(documents: DataFrame) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken) of every row."""
     # Spark's patterns know no shorter way to say "not ASCII white space".
     count = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]++")), F.lit(0)).cast("long")
@@ -101,12 +91,11 @@ def mix(documents: DataFrame, words: bool = False) -> DataFrame:
     name = F.concat_ws(":", F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string"))
     rows = sizes.join(aims, "source_key").withColumn("key", F.md5(name))
     rows = rows.withColumn("shard", F.pmod(F.conv(F.substring("key", 1, 8), 16, 10).cast("long"), F.col("shards")))
-    kept = ("source_size", "target", "source_won")
+    kept = ("source_size", "source_won")
     quotas = rows.groupBy("source_key", "shard").agg(F.sum("size").alias("shard_size"), *(F.first(c).alias(c) for c in kept))
     quotas = quotas.withColumn("most", F.col("shard_size") * MOST)
     quotas = _apportioned(quotas, ["source_key"], "shard", "shard_size", "source_size", "most", "source_won", "shard_won")
-    quota = F.least(_owed(), F.col("most")) if words else F.col("shard_won")
-    quotas = quotas.select("source_key", "shard", "shard_size", quota.alias("quota"))
+    quotas = quotas.select("source_key", "shard", "shard_size", F.col("shard_won").alias("quota"))
     order = Window.partitionBy("source_key", "shard").orderBy("key", "doc_id")
     rows = rows.join(quotas, ["source_key", "shard"]).withColumn("before", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     rounds = F.when(F.col("shard_size") > 0, F.floor(F.col("quota") / F.col("shard_size"))).otherwise(0)

@@ -476,3 +476,8 @@ def test_limits_leave_no_seat_over(spark):
         parties = spark.createDataFrame([(k, v, sum(votes), m, seats) for k, (v, m) in enumerate(zip(votes, most))], schema)
         got = mixing._apportioned(parties, [], "place", "votes", "total", "most", "seats", "won").orderBy("place").collect()
         assert [r.won for r in got] == sainte_lague(votes, most, seats)
+
+
+def test_pipeline_mixes_what_the_quotients_give(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 60)
+    assert_apportioned(corpus_pipeline.mixture(spark, scattered(spark, 0), "").collect())
