@@ -9,9 +9,10 @@ A stream (end, subwords, end) is read in windows of ``WINDOW`` positions that ov
 second half of its positions and uses the first as context, so each subword is scored once. Windows are batched;
 a mask hides later positions and those before the stream.
 
-Training is data parallel: every ``EVERY``-th window of every training document is kept as a table; in each round
-every task starts from the current weights, takes its windows in batches, and the weights are averaged over tasks by
-their number of windows. What is kept, counted and shuffled grows with the corpus.
+Training is data parallel and takes every window of every training document, each in one of ``ROUNDS`` rounds. Streams
+are kept as a table, cut into runs of ``RUN`` windows and never shuffled; in each round every task starts from the current
+weights, takes its windows in batches, as many as a buffer holds mixed at a time, and the weights are averaged over tasks
+by their number of windows. What is kept and counted grows with the corpus.
 
 The scored probability of a word is ``MIX`` of its share of the training tokens and 1 - ``MIX`` of what the model
 gives its subwords; the same holds for the end.
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.shared import stored
-from ledgerloom.llm.text import pieces, utf8, word_hashes, words
+from ledgerloom.llm.text import mix, pieces, utf8, word_hashes, words
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 FOLDS, HELD = 7, 2
@@ -47,10 +48,11 @@ PLACES = GROUP * GROUP
 END, OTHER = 0, 1
 WIDTH, HIDDEN = 16, 32
 WINDOW, STEP = 32, 16
-EVERY = 16
 ROUNDS, BATCH, LEAST_STEPS, RATE = 3, 32, 150, 1e-2
-#: Windows of a training task, as long as there are fewer tasks than shuffle partitions.
-TASK_WINDOWS = 32_768
+#: Windows of a row of the training table, and windows that a training task holds at a time.
+RUN, BUFFER = 64, 16_384
+#: Stored places outside a stream and its ends; a tokenizer has fewer subwords.
+OUTSIDE, ENDING = 65_535, 65_534
 #: Weight of a word's share of the training corpus in its scored probability; the model has the rest.
 MIX = 0.5
 SCORED_AT_ONCE = 128
@@ -84,11 +86,8 @@ def read(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return h, found.bounds, flat[where], at[found.bounds], each
 
 
-def windows(ids: np.ndarray, bounds: np.ndarray, ending: int = -2) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Streams cut into windows: context (n, WINDOW) and target (n, STEP) with -1 outside, the text, the number in it.
-
-    ``ids`` are alphabet places or subword ids; ``ending`` stands for the end.
-    """
+def _laid(ids: np.ndarray, bounds: np.ndarray, ending: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Streams laid out one after another with -1 outside, where each starts, and its number of windows."""
     size = np.diff(bounds) + 1  # targets: the subwords and the end
     count = -(-size // STEP)
     before = WINDOW - STEP
@@ -99,15 +98,44 @@ def windows(ids: np.ndarray, bounds: np.ndarray, ending: int = -2) -> tuple[np.n
     laid[np.repeat(start + before + 1 - bounds[:-1], size - 1) + np.arange(len(ids))] = ids
     laid[start + before] = ending
     laid[start + before + size] = ending
-    text = np.repeat(np.arange(len(size)), count)
+    return laid, start, count
+
+
+def windows(ids: np.ndarray, bounds: np.ndarray, ending: int = -2) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Streams cut into windows: context (n, WINDOW) and target (n, STEP) with -1 outside, the text, the number in it.
+
+    ``ids`` are alphabet places or subword ids; ``ending`` stands for the end.
+    """
+    laid, start, count = _laid(ids, bounds, ending)
+    text = np.repeat(np.arange(len(count)), count)
     number = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
     at = start[text] + number * STEP
     context = np.lib.stride_tricks.sliding_window_view(laid, WINDOW)[at]
-    target = np.lib.stride_tricks.sliding_window_view(laid, STEP)[at + before + 1]
+    target = np.lib.stride_tricks.sliding_window_view(laid, STEP)[at + WINDOW - STEP + 1]
     # A last window's context may hold the final end, but only at places that no target sees.
     return context, target, text, number
 
 
+def runs(ids: np.ndarray, bounds: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """Streams of subword ids cut into rows of at most ``RUN`` windows: places, windows, the text, the number in it."""
+    laid, start, count = _laid(ids, bounds, -2)
+    places = np.where(laid >= 0, laid, np.where(laid == -2, ENDING, OUTSIDE)).astype(np.uint16)
+    rows = -(-count // RUN)
+    text = np.repeat(np.arange(len(count)), rows)
+    number = np.arange(int(rows.sum())) - np.repeat(np.cumsum(rows) - rows, rows)
+    held = np.minimum(RUN, count[text] - number * RUN)
+    first = start[text] + number * RUN * STEP
+    ends = first + (held - 1) * STEP + WINDOW + 1
+    return [places[a:b].tobytes() for a, b in zip(first.tolist(), ends.tolist())], held, text, number
+
+
+def windows_of(row: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Context and target of a row's windows, in stored places."""
+    places = np.frombuffer(row, np.uint16)
+    view = np.lib.stride_tricks.sliding_window_view
+    return view(places, WINDOW)[:-1:STEP], view(places[WINDOW - STEP + 1 :], STEP)[::STEP]
+
+
 def _shapes() -> dict[str, tuple[int, ...]]:
     d = WIDTH
     return {
@@ -146,23 +174,28 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(-1, keepdims=True))
 
 
+def _times(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """x @ w as one product of all rows, which is faster than one for each window."""
+    return (x.reshape(-1, x.shape[-1]) @ w).reshape(*x.shape[:-1], w.shape[-1])
+
+
 def log_probabilities(p: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray, keep: dict | None = None) -> np.ndarray:
     """Natural log probability of each target place (0 outside the stream). ``keep`` receives what a gradient needs."""
     tokens, goal = np.maximum(context, 0), np.maximum(target, 0)
     x = p["E"][tokens] + p["P"]
     late = x[:, WINDOW - STEP :]
-    q, k, v = late @ p["Wq"], x @ p["Wk"], x @ p["Wv"]
+    q, k, v = _times(late, p["Wq"]), _times(x, p["Wk"]), _times(x, p["Wv"])
     s = q @ k.transpose(0, 2, 1) / np.float32(np.sqrt(WIDTH)) + _LATER + np.where(context >= 0, 0, -1e9).astype(np.float32)[:, None]
     s -= s.max(-1, keepdims=True)
     a = np.exp(s)
     a /= a.sum(-1, keepdims=True)
     h = late + a @ v
-    r = np.maximum(h @ p["W1"] + p["b1"], 0)
-    m = h + r @ p["W2"]
+    r = np.maximum(_times(h, p["W1"]) + p["b1"], 0)
+    m = h + _times(r, p["W2"])
     hi, lo = goal // GROUP, goal % GROUP
-    lh = _log_softmax(m @ p["Uh"] + p["bh"])
-    g = np.maximum(m @ p["Wg"] + p["C"][hi], 0)
-    ll = _log_softmax(g @ p["Ul"] + p["Bl"][hi])
+    lh = _log_softmax(_times(m, p["Uh"]) + p["bh"])
+    g = np.maximum(_times(m, p["Wg"]) + p["C"][hi], 0)
+    ll = _log_softmax(_times(g, p["Ul"]) + p["Bl"][hi])
     out = np.take_along_axis(lh, hi[..., None], -1)[..., 0] + np.take_along_axis(ll, lo[..., None], -1)[..., 0]
     if keep is not None:
         keep.update(x=x, late=late, q=q, k=k, v=v, a=a, h=h, r=r, m=m, g=g, lh=lh, ll=ll, hi=hi, lo=lo, tokens=tokens)
@@ -245,22 +278,22 @@ def gradient(p: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray)
     groups = np.zeros((c["hi"].size, GROUP), np.float32)
     groups[np.arange(c["hi"].size), c["hi"].reshape(-1)] = 1
     d["Bl"] = groups.T @ rows(dl)
-    dg = (dl @ p["Ul"].T) * (c["g"] > 0)
+    dg = _times(dl, p["Ul"].T) * (c["g"] > 0)
     d["Wg"] = rows(c["m"]).T @ rows(dg)
     d["C"] = groups.T @ rows(dg)
     dh_ = back(c["lh"], c["hi"])
     d["Uh"], d["bh"] = rows(c["m"]).T @ rows(dh_), rows(dh_).sum(0)
-    dm = dh_ @ p["Uh"].T + dg @ p["Wg"].T
+    dm = _times(dh_, p["Uh"].T) + _times(dg, p["Wg"].T)
     d["W2"] = rows(c["r"]).T @ rows(dm)
-    dr = (dm @ p["W2"].T) * (c["r"] > 0)
+    dr = _times(dm, p["W2"].T) * (c["r"] > 0)
     d["W1"], d["b1"] = rows(c["h"]).T @ rows(dr), rows(dr).sum(0)
-    dh = dm + dr @ p["W1"].T
+    dh = dm + _times(dr, p["W1"].T)
     da, dv = dh @ c["v"].transpose(0, 2, 1), c["a"].transpose(0, 2, 1) @ dh
     ds = c["a"] * (da - (da * c["a"]).sum(-1, keepdims=True)) / np.float32(np.sqrt(WIDTH))
     dq, dk = ds @ c["k"], ds.transpose(0, 2, 1) @ c["q"]
     d["Wq"], d["Wk"], d["Wv"] = rows(c["late"]).T @ rows(dq), rows(c["x"]).T @ rows(dk), rows(c["x"]).T @ rows(dv)
-    dx = dk @ p["Wk"].T + dv @ p["Wv"].T
-    dx[:, WINDOW - STEP :] += dh + dq @ p["Wq"].T
+    dx = _times(dk, p["Wk"].T) + _times(dv, p["Wv"].T)
+    dx[:, WINDOW - STEP :] += dh + _times(dq, p["Wq"].T)
     dx *= (context >= 0)[..., None]
     d["P"] = dx.sum(0)
     cell = c["tokens"].reshape(-1, 1) * WIDTH + np.arange(WIDTH)
@@ -268,25 +301,39 @@ def gradient(p: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray)
     return -float(value.sum()) / max(1.0, float(real.sum())), d
 
 
-def train(flat: np.ndarray, context: np.ndarray, target: np.ndarray, seed: int, steps: int | None = None) -> np.ndarray:
-    """One worker's share of a round: batches of its windows, each at least once, ``LEAST_STEPS`` batches at least."""
+def train(flat: np.ndarray, blocks: Iterator[tuple[np.ndarray, np.ndarray]], seed: int, steps: int) -> tuple[np.ndarray, int]:
+    """One worker's share of a round: batches of all windows of ``blocks``, and their number.
+
+    A block's windows are mixed. ``steps`` is about how many batches there are; at least ``LEAST_STEPS`` are made.
+    """
     draw = np.random.default_rng(seed)
-    flat, order = flat.copy(), draw.permutation(len(context))
-    steps = steps or max(LEAST_STEPS, -(-len(context) // BATCH))
+    flat, step, seen = flat.copy(), 0, 0
+    steps = max(LEAST_STEPS, steps)
     first, second = np.zeros_like(flat), np.zeros_like(flat)
-    for step in range(1, steps + 1):
-        pick = order[np.arange((step - 1) * BATCH, step * BATCH) % len(order)]
-        _, d = gradient(unpack(flat), context[pick], target[pick])
+
+    def learn(context: np.ndarray, target: np.ndarray) -> None:
+        nonlocal step
+        step += 1
+        _, d = gradient(unpack(flat), context, target)
         g = np.concatenate([d[n].reshape(-1) for n in _shapes()])
-        first += 0.1 * (g - first)
-        second += 0.01 * (g * g - second)
-        rate = RATE * min(1.0, 20 * step / steps) * (1.05 - step / steps)
-        flat -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-6)
-    return flat
+        first[:] += 0.1 * (g - first)
+        second[:] += 0.01 * (g * g - second)
+        rate = RATE * min(1.0, 20 * step / steps) * max(0.05, 1.05 - step / steps)
+        flat[:] -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-6)
+
+    for context, target in blocks:
+        seen += len(context)
+        order = draw.permutation(len(context))
+        for k in range(0, len(order), BATCH):
+            learn(context[order[k : k + BATCH]], target[order[k : k + BATCH]])
+    while seen and step < LEAST_STEPS:
+        pick = order[np.arange(step * BATCH, (step + 1) * BATCH) % len(order)]
+        learn(context[pick], target[pick])
+    return flat, seen
 
 
 def _read_training(path: str):
-    """Counts of words and subwords, and every ``EVERY``-th window of every text, of a map task."""
+    """Counts of words and subwords, and the streams of all texts, of a map task."""
     schema = ["kind", "key", "n", "ids"]
 
     def rows(kind: int, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
@@ -305,13 +352,9 @@ def _read_training(path: str):
                 yield rows(WORD, *_merged(keys, counts))
                 keys, counts, held = [], [], 0
             subword += np.bincount(ids, minlength=len(subword))
-            context, target, text, number = windows(ids, bounds)
-            offset = piece.column("spread").to_numpy()
-            chosen = np.flatnonzero((number % EVERY == offset[text] % EVERY) | ((number == 0) & (np.diff(bounds)[text] < STEP * EVERY)))
-            both = np.concatenate([context[chosen], target[chosen]], 1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(both), STREAM, np.int32)), pa.array(number[chosen]), pa.array(np.ones(len(both), np.int64)), pa.array([b.tobytes() for b in both], pa.binary())], schema
-            )
+            row, size, text, number = runs(ids, bounds)
+            key = mix(piece.column("spread").to_numpy().view(np.uint64)[text] + number.astype(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(row), STREAM, np.int32)), pa.array(key), pa.array(size), pa.array(row, pa.binary())], schema)
         if keys:
             yield rows(WORD, *_merged(keys, counts))
         seen = np.flatnonzero(subword)
@@ -341,29 +384,39 @@ def _places(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return place, within, share / share.sum()
 
 
-def _to_places(raw: np.ndarray, place: np.ndarray) -> np.ndarray:
-    return np.where(raw >= 0, place[np.maximum(raw, 0)], np.where(raw == -2, END, -1))
+def _blocks(batches: Iterator[pa.RecordBatch], place: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Windows of stored rows in alphabet places, about ``BUFFER`` at a time."""
+    known = np.full(OUTSIDE + 1, -1, np.int32)
+    known[: len(place)] = place
+    known[ENDING] = END
+    held, size = [], 0
+    for batch in batches:
+        for row in batch.column("ids"):
+            held.append(windows_of(row.as_buffer()))
+            size += len(held[-1][0])
+            if size >= BUFFER:
+                yield tuple(known[np.concatenate(x)] for x in zip(*held))
+                held, size = [], 0
+    if held:
+        yield tuple(known[np.concatenate(x)] for x in zip(*held))
 
 
 def _fit(streams: DataFrame, place: np.ndarray, share: np.ndarray) -> np.ndarray:
     """Rounds of parallel training with averaged weights."""
-    spark = streams.sparkSession
     flat = initial(share)
-    tasks = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-streams.count() // TASK_WINDOWS)))
-    dealt = streams.withColumn("round", F.pmod(F.xxhash64("ids", "key"), F.lit(ROUNDS))).repartition(tasks, F.xxhash64("ids", "key", F.lit(1))).sortWithinPartitions("ids", "key")
-    dealt = stored(dealt.select("round", "ids"), "windows")
+    streams = streams.withColumn("round", F.pmod(F.xxhash64("key"), F.lit(ROUNDS)))
+    sizes = {r["round"]: r["n"] for r in streams.groupBy("round").agg(F.sum("n").alias("n")).collect()}
     for number in range(ROUNDS):
-        start = flat
+        rows = streams.where(F.col("round") == number).select("ids")
+        start, steps = flat, sizes.get(number, 0) // (BATCH * max(1, rows.rdd.getNumPartitions()))
 
-        def run(batches: Iterator[pa.RecordBatch], start: np.ndarray = start, number: int = number) -> Iterator[pa.RecordBatch]:
-            both = [np.frombuffer(b"".join(batch.column("ids").to_pylist()), np.int32).reshape(-1, WINDOW + STEP) for batch in batches if batch.num_rows]
-            if both:
-                got = _to_places(np.concatenate(both), place)
-                new = train(start, got[:, :WINDOW], got[:, WINDOW:], number)
+        def run(batches: Iterator[pa.RecordBatch], start: np.ndarray = start, number: int = number, steps: int = steps) -> Iterator[pa.RecordBatch]:
+            new, seen = train(start, _blocks(batches, place), number, steps)
+            if seen:
                 index = np.arange(len(new), dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(index), pa.array(new.astype(np.float64) * len(got)), pa.array(np.full(len(new), len(got), np.int64))], ["i", "v", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(index), pa.array(new.astype(np.float64) * seen), pa.array(np.full(len(new), seen, np.int64))], ["i", "v", "n"])
 
-        got = dealt.where(F.col("round") == number).select("ids").mapInArrow(run, "i int, v double, n long").groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).toPandas()
+        got = rows.mapInArrow(run, "i int, v double, n long").groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).toPandas()
         if len(got):
             flat = np.zeros(len(start), np.float32)
             flat[got["i"].to_numpy()] = got["v"].to_numpy()
@@ -374,7 +427,7 @@ def score(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     spark = documents.sparkSession
     remainder = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(FOLDS))
-    training = documents.where(remainder != HELD).select("text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)).alias("spread"))
+    training = documents.where(remainder != HELD).select("text", F.xxhash64("doc_id", "text").alias("spread"))
     gathered = stored(training.mapInArrow(_read_training(tokenizer), "kind int, key long, n long, ids binary"), "gathered")
     ends = training.count()
     counts = stored(gathered.where(F.col("kind") == WORD).groupBy("key").agg(F.sum("n").alias("n")), "counts")
@@ -390,7 +443,7 @@ def score(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     per_subword[got["key"].to_numpy(np.int64)] = got["n"].to_numpy(np.int64)
     per_subword[-1] = ends
     place, within, share = _places(per_subword)
-    weights = _fit(gathered.where(F.col("kind") == STREAM).select("key", "ids"), place, share)
+    weights = _fit(gathered.where(F.col("kind") == STREAM).select("key", "n", "ids"), place, share)
     shared = spark.sparkContext.broadcast((often_keys, often_counts, place, within, weights))
     norm = np.log10(total + distinct + 1)
 

@@ -481,3 +481,30 @@ def test_limits_leave_no_seat_over(spark):
 def test_pipeline_mixes_what_the_quotients_give(spark, monkeypatch):
     monkeypatch.setattr(mixing, "SHARD_WORDS", 60)
     assert_apportioned(corpus_pipeline.mixture(spark, scattered(spark, 0), "").collect())
+
+
+def test_every_window_of_every_training_text_is_learned_from():
+    draw = np.random.default_rng(1)
+    texts = [draw.integers(0, 900, n).astype(np.int64) for n in (0, 5, 16, 400, 3000, 40_000)]
+    ids, bounds = np.concatenate(texts), np.cumsum([0, *map(len, texts)])
+    rows, size, _, _ = attention.runs(ids, bounds)
+    place = np.arange(1000)
+    batches = [pa.RecordBatch.from_arrays([pa.array(rows[k : k + 7], pa.binary())], ["ids"]) for k in range(0, len(rows), 7)]
+    blocks = list(attention._blocks(iter(batches), place))
+    want, target, _, _ = attention.windows(ids, bounds, attention.END)
+    assert [len(c) for c, _ in blocks] and sum(size) == sum(len(c) for c, _ in blocks) == len(want)
+    assert (np.concatenate([c for c, _ in blocks]) == want).all() and (np.concatenate([t for _, t in blocks]) == target).all()
+
+
+def test_training_rows_hold_all_windows(frame, monkeypatch):
+    kept = []
+    fit = attention._fit
+    monkeypatch.setattr(attention, "_fit", lambda streams, *rest: kept.append(streams.agg({"n": "sum"}).first()[0] if "n" in streams.columns else streams.count()) or fit(streams, *rest))
+    texts = [" ".join(text_of(RANDOM.randrange(100, 900))) for _ in range(20)]
+    attention.score(frame(texts)).count()
+    model = attention.subwords(attention.TOKENIZER)
+    want = 0
+    for k, t in enumerate(texts, 1):
+        if zlib.crc32(str(k).encode()) % 7 != 2:
+            want += -(-(sum(len(model.encode(w)) for w in t.split()) + 1) // attention.STEP)
+    assert kept == [want]
