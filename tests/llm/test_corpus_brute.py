@@ -508,3 +508,35 @@ def test_training_rows_hold_all_windows(frame, monkeypatch):
         if zlib.crc32(str(k).encode()) % 7 != 2:
             want += -(-(sum(len(model.encode(w)) for w in t.split()) + 1) // attention.STEP)
     assert kept == [want]
+
+
+def test_passages_link_texts_that_share_more_with_each_other_than_with_the_first(frame):
+    draw = random.Random(31)
+    line = text_of(35, draw)
+    texts = [" ".join(text_of(30, draw) + line + text_of(30, draw)) for _ in range(30)]
+    pairs = []
+    for _ in range(30):
+        whole = text_of(13, draw) + line + text_of(13, draw)
+        pairs.append((len(texts) + 1, len(texts) + 2))
+        texts += [" ".join(text_of(25, draw) + whole + text_of(25, draw)) for _ in range(2)]
+    found = {(r.other_id, r.doc_id) for r in passages.repeated_passages(frame(texts)).collect()}
+    assert len(set(pairs) & found) >= 29
+
+
+def test_passages_between_variants_of_a_first_text(frame):
+    draw = random.Random(32)
+    texts, pairs = [], []
+    for _ in range(25):
+        base = text_of(80, draw)
+        changed = base[:]
+        for k in (20, 60):
+            changed[k] = f"new{draw.random()}"
+        other = changed[:]
+        other[40] = "else"
+        first = base[:]
+        for k in (10, 30, 50, 70):
+            first[k] = f"old{draw.random()}"
+        pairs.append((len(texts) + 2, len(texts) + 3))
+        texts += [" ".join(first), " ".join(changed), " ".join(other)]
+    found = {(r.other_id, r.doc_id) for r in passages.repeated_passages(frame(texts)).collect()}
+    assert len(set(pairs) & found) >= 24
