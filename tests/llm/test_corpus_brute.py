@@ -540,3 +540,42 @@ def test_passages_between_variants_of_a_first_text(frame):
         texts += [" ".join(first), " ".join(changed), " ".join(other)]
     found = {(r.other_id, r.doc_id) for r in passages.repeated_passages(frame(texts)).collect()}
     assert len(set(pairs) & found) >= 24
+
+
+def test_passages_do_not_compare_again_what_was_refused(frame, monkeypatch):
+    draw, wanted = random.Random(33), []
+    texts = []
+    for _ in range(10):  # forty shared words are linked by their windows and refused as a passage
+        half = text_of(40, draw)
+        texts += [" ".join(half + text_of(30, draw)), " ".join(text_of(30, draw) + half)]
+    sequences = passages._sequences
+    monkeypatch.setattr(passages, "_sequences", lambda documents, ids: wanted.append(ids.distinct().count()) or sequences(documents, ids))
+    assert passages.repeated_passages(frame(texts)).count() == 0
+    assert wanted[0] > 0 and wanted[1] == 0
+
+
+def test_passage_regions_are_overlapping_links_on_a_diagonal():
+    draw = np.random.default_rng(5)
+    for _ in range(50):
+        pair = np.sort(draw.integers(0, 4, 30))
+        c, oc = draw.integers(0, 400, (2, 30))
+        links = np.stack([draw.integers(0, 5, 30), c, c - draw.integers(0, 60, 30), c + draw.integers(0, 60, 30), oc, oc - 9, oc + 9, draw.integers(0, 2, 30)], 1)
+        want = []
+        for k in range(4):
+            mine = sorted(links[pair == k].tolist(), key=lambda x: x[1] - x[4])
+            parts = []
+            for x in mine:
+                if not parts or x[1] - x[4] - (parts[-1][-1][1] - parts[-1][-1][4]) > passages.DRIFT:
+                    parts.append([])
+                parts[-1].append(x)
+            for part in parts:
+                found = []
+                for x in sorted(part, key=lambda x: x[2]):
+                    if not found or x[2] > max(y[3] for y in found[-1]):
+                        found.append([])
+                    found[-1].append(x)
+                for g in found:
+                    if len({x[0] for x in g}) >= passages.ENOUGH and any(x[7] for x in g):
+                        want.append((k, min(x[2] for x in g), max(x[3] for x in g) + 1, min(x[5] for x in g), max(x[6] for x in g) + 1))
+        got, places = passages.regions(links, pair)
+        assert sorted((int(k), *map(int, p)) for k, p in zip(got, places)) == sorted(want)
