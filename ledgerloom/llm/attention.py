@@ -55,7 +55,7 @@ RUN, BUFFER = 64, 16_384
 OUTSIDE, ENDING = 65_535, 65_534
 #: Weight of a word's share of the training corpus in its scored probability; the model has the rest.
 MIX = 0.5
-SCORED_AT_ONCE = 128
+SCORED_AT_ONCE = 64
 #: Scores and outputs above this, which trained weights don't reach, count as this much.
 BOUND = np.float32(60)
 
@@ -171,7 +171,8 @@ _LATER = np.where(np.arange(WINDOW)[None] <= np.arange(STEP)[:, None] + WINDOW -
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
     x = x - x.max(-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(-1, keepdims=True))
+    x -= np.log(np.exp(x) @ np.ones(x.shape[-1], x.dtype))[..., None]
+    return x
 
 
 def _times(x: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -185,10 +186,13 @@ def log_probabilities(p: dict[str, np.ndarray], context: np.ndarray, target: np.
     x = p["E"][tokens] + p["P"]
     late = x[:, WINDOW - STEP :]
     q, k, v = _times(late, p["Wq"]), _times(x, p["Wk"]), _times(x, p["Wv"])
-    s = q @ k.transpose(0, 2, 1) / np.float32(np.sqrt(WIDTH)) + _LATER + np.where(context >= 0, 0, -1e9).astype(np.float32)[:, None]
-    s -= s.max(-1, keepdims=True)
-    a = np.exp(s)
-    a /= a.sum(-1, keepdims=True)
+    a = (q / np.float32(np.sqrt(WIDTH))) @ k.transpose(0, 2, 1)
+    a += _LATER
+    if (context < 0).any():
+        a += np.where(context >= 0, 0, -1e9).astype(np.float32)[:, None]
+    a -= a.max(-1, keepdims=True)
+    np.exp(a, out=a)
+    a /= (a @ np.ones(WINDOW, a.dtype))[..., None]
     h = late + a @ v
     r = np.maximum(_times(h, p["W1"]) + p["b1"], 0)
     m = h + _times(r, p["W2"])
@@ -196,7 +200,8 @@ def log_probabilities(p: dict[str, np.ndarray], context: np.ndarray, target: np.
     lh = _log_softmax(_times(m, p["Uh"]) + p["bh"])
     g = np.maximum(_times(m, p["Wg"]) + p["C"][hi], 0)
     ll = _log_softmax(_times(g, p["Ul"]) + p["Bl"][hi])
-    out = np.take_along_axis(lh, hi[..., None], -1)[..., 0] + np.take_along_axis(ll, lo[..., None], -1)[..., 0]
+    rows = np.arange(goal.size)
+    out = (lh.reshape(-1, GROUP)[rows, hi.reshape(-1)] + ll.reshape(-1, GROUP)[rows, lo.reshape(-1)]).reshape(goal.shape)
     if keep is not None:
         keep.update(x=x, late=late, q=q, k=k, v=v, a=a, h=h, r=r, m=m, g=g, lh=lh, ll=ll, hi=hi, lo=lo, tokens=tokens)
     return np.where(target >= 0, out, 0)
@@ -228,7 +233,7 @@ class Scorer:
         a *= self.open
         if (context < 0).any():
             a *= (context >= 0)[:, None]
-        a /= a.sum(-1, keepdims=True) + np.float32(1e-30)
+        a /= (a @ np.ones(WINDOW, a.dtype))[..., None] + np.float32(1e-30)
         h = a @ kv[:, :, WIDTH:]
         h += p["E"][now]
         h += p["P"][WINDOW - STEP :]
@@ -253,7 +258,7 @@ class Scorer:
             np.minimum(x, BOUND, out=x)
             out += x[rows, which]
             np.exp(x, out=x)
-            out -= np.log(x.sum(1))
+            out -= np.log(x @ np.ones(GROUP, x.dtype))
         return np.where(target >= 0, out.reshape(n, STEP), 0)
 
 
@@ -270,8 +275,9 @@ def gradient(p: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray)
 
     def back(log_soft: np.ndarray, which: np.ndarray) -> np.ndarray:
         z = np.exp(log_soft)
-        np.put_along_axis(z, which[..., None], np.take_along_axis(z, which[..., None], -1) - 1, -1)
-        return z * scale[..., None]
+        rows(z)[np.arange(which.size), which.reshape(-1)] -= 1
+        z *= scale[..., None]
+        return z
 
     dl = back(c["ll"], c["lo"])
     d["Ul"] = rows(c["g"]).T @ rows(dl)
@@ -282,19 +288,24 @@ def gradient(p: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray)
     d["Wg"] = rows(c["m"]).T @ rows(dg)
     d["C"] = groups.T @ rows(dg)
     dh_ = back(c["lh"], c["hi"])
-    d["Uh"], d["bh"] = rows(c["m"]).T @ rows(dh_), rows(dh_).sum(0)
+    one = np.ones(c["hi"].size, dh_.dtype)
+    d["Uh"], d["bh"] = rows(c["m"]).T @ rows(dh_), one @ rows(dh_)
     dm = _times(dh_, p["Uh"].T) + _times(dg, p["Wg"].T)
     d["W2"] = rows(c["r"]).T @ rows(dm)
     dr = _times(dm, p["W2"].T) * (c["r"] > 0)
-    d["W1"], d["b1"] = rows(c["h"]).T @ rows(dr), rows(dr).sum(0)
+    d["W1"], d["b1"] = rows(c["h"]).T @ rows(dr), one @ rows(dr)
     dh = dm + _times(dr, p["W1"].T)
     da, dv = dh @ c["v"].transpose(0, 2, 1), c["a"].transpose(0, 2, 1) @ dh
-    ds = c["a"] * (da - (da * c["a"]).sum(-1, keepdims=True)) / np.float32(np.sqrt(WIDTH))
+    # The sum of da * a over the keys is what dh makes of a @ v.
+    da -= (dh * (c["h"] - c["late"])).sum(-1, keepdims=True)
+    da *= c["a"]
+    ds = da * np.float32(1 / np.sqrt(WIDTH))
     dq, dk = ds @ c["k"], ds.transpose(0, 2, 1) @ c["q"]
     d["Wq"], d["Wk"], d["Wv"] = rows(c["late"]).T @ rows(dq), rows(c["x"]).T @ rows(dk), rows(c["x"]).T @ rows(dv)
     dx = _times(dk, p["Wk"].T) + _times(dv, p["Wv"].T)
     dx[:, WINDOW - STEP :] += dh + _times(dq, p["Wq"].T)
-    dx *= (context >= 0)[..., None]
+    if (context < 0).any():
+        dx *= (context >= 0)[..., None]
     d["P"] = dx.sum(0)
     cell = c["tokens"].reshape(-1, 1) * WIDTH + np.arange(WIDTH)
     d["E"] = np.bincount(cell.reshape(-1), dx.reshape(-1), PLACES * WIDTH).reshape(PLACES, WIDTH).astype(dx.dtype)

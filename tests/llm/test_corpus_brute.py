@@ -579,3 +579,19 @@ def test_passage_regions_are_overlapping_links_on_a_diagonal():
                         want.append((k, min(x[2] for x in g), max(x[3] for x in g) + 1, min(x[5] for x in g), max(x[6] for x in g) + 1))
         got, places = passages.regions(links, pair)
         assert sorted((int(k), *map(int, p)) for k, p in zip(got, places)) == sorted(want)
+
+
+def test_attention_gradient_of_short_streams_sums_only_over_their_places():
+    draw = np.random.default_rng(8)
+    flat = attention.initial(draw.random(attention.PLACES)).astype(np.float64)
+    context, target = draw.integers(0, attention.PLACES, (5, attention.WINDOW)), draw.integers(0, attention.PLACES, (5, attention.STEP))
+    context[:3, : attention.WINDOW - attention.STEP] = -1
+    target[1:, 9:] = -1
+    _, d = attention.gradient(attention.unpack(flat), context, target)
+    assert (d["P"][: attention.WINDOW - attention.STEP] != 0).any() and np.isfinite(np.concatenate([v.reshape(-1) for v in d.values()])).all()
+    loss = lambda f: -attention.log_probabilities(attention.unpack(f), context, target).sum() / (target >= 0).sum()
+    g = np.concatenate([d[n].reshape(-1) for n in attention._shapes()])
+    for k in draw.choice(np.flatnonzero(np.abs(g) > 1e-4), 20):
+        step = np.zeros_like(flat)
+        step[k] = 1e-4
+        assert g[k] == pytest.approx((loss(flat + step) - loss(flat - step)) / 2e-4, abs=1e-5)
