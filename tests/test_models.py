@@ -113,6 +113,24 @@ def test_grid_search_reports_every_fold(train, table):
     assert log.count() == 2 * CFG.cv_folds and best in [f for _, f in grid]
 
 
+def test_points_of_a_grid_share_the_preparation_of_a_fold(train, monkeypatch):
+    folds = splits.stratified_folds(train, CFG).select("customer_id", "fold")
+    joined = train.join(folds, "customer_id").persist()
+    made, plain = [], models.preparation_stages
+    monkeypatch.setattr(models, "preparation_stages", lambda *a: made.append(a) or plain(*a))
+    _, log = models.grid_search(models.forest_grid(CFG), joined, CFG)
+    assert len(made) == CFG.cv_folds
+    assert log.count() == len(models.forest_grid(CFG)) * CFG.cv_folds
+
+
+def test_fits_side_by_side_get_the_partitions_their_rows_need(train, monkeypatch):
+    spread = train.repartition(7)
+    assert models.gathered(spread).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(models, "FIT_ROWS", 100)
+    assert models.gathered(spread).rdd.getNumPartitions() == -(-train.count() // 100)
+    assert sorted(models.gathered(spread).collect()) == sorted(spread.collect())
+
+
 def test_reconstruction_error(train, table):
     fitted = anomaly.fit_anomaly(train, table.filter("partition = 'validation'"), CFG)
     ordered = table.orderBy("customer_id")

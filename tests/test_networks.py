@@ -170,3 +170,10 @@ def test_autoencoder_beats_the_projection_on_curved_inputs(people):
     assert error[0] < error[1]
     scored = np.array([r.anomaly_score for r in anomaly.anomaly_scores(held, net).collect()])
     assert net.threshold == pytest.approx(np.quantile(scored, CFG.anomaly_quantile))
+
+
+def test_shards_of_a_small_table_are_dealt_to_all_cores(spark):
+    rows = spark.range(200).selectExpr("id AS key", "cast(id % 5 AS int) AS group", "array(cast(id AS double)) AS x", "1d AS y", "0 AS length")
+    shards = networks.packed(rows)
+    assert shards.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sum(r.n for r in shards.collect()) == 200
