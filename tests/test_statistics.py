@@ -165,3 +165,35 @@ def test_rows_are_sent_to_the_cells_that_are_visited(spark, monkeypatch):
         assert got[f"q{k:04d}"] == [f"t{i:04d}" for i in np.argsort(gaps[k], kind="stable")[:5]]
     assert report["pivots"] == 24 and report["visits"] <= 120 * 24
     assert report["sent"] <= 300 * 3  # at most three blocks of 50 visitors; nothing of the far group
+
+
+def test_a_query_is_sent_once_to_a_piece_of_many_cells(spark, monkeypatch):
+    """Many inputs, so that nearly all cells are visited: what is sent follows pieces and blocks, not cells; turns change nothing."""
+    draw = np.random.default_rng(8)
+    train, asked = np.round(draw.normal(0, 3, (400, 20)), 1), np.round(draw.normal(0, 3, (90, 20)), 1)
+    asked[0] = train[7]
+    asked[1, 3] = np.nan
+    names = [f"x{i}" for i in range(20)]
+    frame = lambda x, p: pd.DataFrame({"customer_id": [f"{p}{i:04d}" for i in range(len(x))], **dict(zip(names, x.T, strict=True))})
+    t, q = spark.createDataFrame(frame(train, "t").assign(churn=1)), spark.createDataFrame(frame(asked, "q"))
+    stored, plain = {}, neighbours.materialize
+
+    def noted(df, name):
+        out = plain(df, name)
+        stored[name] = stored.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(neighbours, "materialize", noted)
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(neighbours, "PIECE_ROWS", 150)
+    monkeypatch.setattr(neighbours, "TURN_BLOCKS", 2, raising=False)
+    monkeypatch.setattr(neighbours, "CHUNK", 16, raising=False)
+    report = {}
+    found = neighbours.nearest_neighbours(q, t, names, "churn", 9, report=report).toPandas()
+    assert report["visits"] > 89 * report["pivots"] / 2
+    assert stored["visits"] == 89  # not a row a visit
+    got = {c: sorted(zip(v["distance"], v["neighbour"], strict=True)) for c, v in found.groupby("customer_id")}
+    assert len(got) == 89 and "q0001" not in got
+    for i in [0, *range(2, 90)]:
+        want = sorted((g, f"t{j:04d}") for j, g in enumerate(neighbours._distances(asked[i : i + 1], train)[0]))[:9]
+        assert got[f"q{i:04d}"] == want
