@@ -173,7 +173,25 @@ def test_autoencoder_beats_the_projection_on_curved_inputs(people):
 
 
 def test_shards_of_a_small_table_are_dealt_to_all_cores(spark):
-    rows = spark.range(200).selectExpr("id AS key", "cast(id % 5 AS int) AS group", "array(cast(id AS double)) AS x", "1d AS y", "0 AS length")
+    rows = spark.range(200).selectExpr("id AS key", "cast(id % 9 AS int) AS group", "array(cast(id AS double)) AS x", "1d AS y", "0 AS length")
     shards = networks.packed(rows)
-    assert shards.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert shards.rdd.getNumPartitions() == 9 > spark.sparkContext.defaultParallelism
     assert sum(r.n for r in shards.collect()) == 200
+
+
+def test_steps_work_on_the_rows_that_still_live_in_them():
+    """The recurrent network against a plain loop over rows and steps; the work of a step follows its living rows."""
+    draw = np.random.default_rng(9)
+    network, length = Recurrent(5, 3, 4), np.array([2, 5, 0, 1, 5, 3])
+    state, x = network.start(4), draw.normal(size=(6, 15))
+    h, order, kept = network._forward(state, x, length)
+    assert [len(step[0]) for step in kept] == [5, 4, 3, 2, 2]
+    assert list(length[order]) == sorted(length, reverse=True)
+    for row, steps in enumerate(length):
+        a, c = np.zeros(4), np.zeros(4)
+        for t in range(steps):
+            z = x[row, 3 * t : 3 * t + 3] @ state["in"] + a @ state["back"] + state["bias"]
+            i, f, o = (networks.sigmoid(z[k : k + 4]) for k in (0, 4, 12))
+            c = f * c + i * np.tanh(z[8:12])
+            a = o * np.tanh(c)
+        assert h[row] == pytest.approx(a, abs=1e-14)
